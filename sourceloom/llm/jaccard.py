@@ -24,8 +24,10 @@ from .common import connected_components, cut, mix, slices, string_hash, tasks,
 
 #: Most n-grams that are known by name as frequent (the broadcast's bound: 8 bytes each).
 FREQUENT = 1 << 17
-#: A frequent n-gram occurs in so many documents of one slice at least.
-REPEATED = 3
+#: N-grams among which repeated ones are looked for at once.
+COUNTED = 4 << 20
+#: A column with more rows than this joins its rows by a star instead of pair counts.
+LONG_COLUMN = 64
 #: Rows of a tile of the product.
 TILE = 256
 
@@ -58,20 +60,30 @@ def _name(grams: np.ndarray) -> int:
 
 def _described(n: int):
     """Rows of two kinds: a document's set size and name; an n-gram that repeats
-    among the documents of a slice, with its count."""
+    among the documents of about COUNTED n-grams, with its count."""
+
+    def repeated(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if held:
+            grams, counts = np.unique(np.concatenate(held), return_counts=True)
+            grams, counts = grams[counts > 1], counts[counts > 1]
+            m = len(grams)
+            yield pa.record_batch({"doc_id": pa.nulls(m, pa.int64()), "node": pa.nulls(m, pa.int64()), "size": pa.nulls(m, pa.int64()), "gram": pa.array(grams.view(np.int64)), "count": pa.array(counts.astype(np.int64))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        total = 0
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = list(shingle_sets(part.column("text"), n))
                 yield pa.record_batch(
                     {"doc_id": part.column("doc_id"), "node": pa.array([_name(s) for s in sets], pa.int64()), "size": pa.array([len(s) for s in sets], pa.int64()), "gram": pa.nulls(len(sets), pa.int64()), "count": pa.nulls(len(sets), pa.int64())}
                 )
-                grams, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, np.int64))
-                often = counts >= REPEATED
-                if often.any():
-                    m = int(often.sum())
-                    yield pa.record_batch({"doc_id": pa.nulls(m, pa.int64()), "node": pa.nulls(m, pa.int64()), "size": pa.nulls(m, pa.int64()), "gram": pa.array(grams[often].view(np.int64)), "count": pa.array(counts[often].astype(np.int64))})
+                held += sets
+                total += sum(map(len, sets))
+                if total >= COUNTED:
+                    yield from repeated(held)
+                    held, total = [], 0
+        yield from repeated(held)
 
     return run
 
@@ -122,8 +134,9 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
 
 
 def _block_edges(percent: int):
-    """From postings sorted by (gram, size, node): star edges over those of one
-    column whose sizes can still link."""
+    """From postings sorted by (gram, size, node): partial overlap counts of pairs
+    whose sizes can link, for columns of up to LONG_COLUMN rows; star edges (count
+    null) over the rows of a longer column whose sizes can still link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, ["gram"]):
@@ -131,16 +144,39 @@ def _block_edges(percent: int):
             fresh = np.ones(len(gram), bool)
             fresh[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
             gram, node, size = gram[fresh], node[fresh], size[fresh].astype(np.int64)
-            if len(gram) < 2:
-                continue
-            start = np.ones(len(gram), bool)
-            start[1:] = (gram[1:] != gram[:-1]) | (100 * size[:-1] < percent * size[1:])
-            at = np.flatnonzero(start)
-            hub = np.repeat(np.minimum.reduceat(node, at), np.diff(np.append(at, len(node))))
-            out = hub != node
-            if out.any():
-                pairs = np.unique(np.stack([hub[out], node[out]]), axis=1)
-                yield pa.record_batch({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+            first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.empty(0, np.int64)
+            length = np.repeat(np.diff(np.append(first, len(gram))), np.diff(np.append(first, len(gram))))
+            long = length > LONG_COLUMN
+            out = []
+            if long.any():
+                g, v, z = gram[long], node[long], size[long]
+                start = np.ones(len(g), bool)
+                start[1:] = (g[1:] != g[:-1]) | (100 * z[:-1] < percent * z[1:])
+                at = np.flatnonzero(start)
+                hub = np.repeat(np.minimum.reduceat(v, at), np.diff(np.append(at, len(v))))
+                pairs = np.unique(np.stack([hub[hub != v], v[hub != v]]), axis=1)
+                out.append((pairs, None))
+            short = (length > 1) & ~long
+            g, v, z = gram[short], node[short], size[short]
+            left, right = [], []
+            for shift in range(1, int(length[short].max()) if short.any() else 1):
+                near = np.flatnonzero((g[:-shift] == g[shift:]) & (100 * z[:-shift] >= percent * z[shift:]))
+                left.append(near)
+                right.append(near + shift)
+            if left:
+                x, y = np.concatenate(left), np.concatenate(right)
+                swap = v[x] > v[y]
+                x, y = np.where(swap, y, x), np.where(swap, x, y)
+                order = np.lexsort((v[y], v[x]))
+                x, y = x[order], y[order]
+                new = np.flatnonzero(np.append(True, (v[x][1:] != v[x][:-1]) | (v[y][1:] != v[y][:-1]))) if len(x) else np.empty(0, np.int64)
+                counts = np.diff(np.append(new, len(x)))
+                out.append((np.stack([v[x[new]], v[y[new]], z[x[new]], z[y[new]]]), counts))
+            for rows, counts in out:
+                if rows.shape[1]:
+                    m = rows.shape[1]
+                    sizes = (pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())) if counts is None else (pa.array(rows[2]), pa.array(rows[3]), pa.array(counts))
+                    yield pa.record_batch({"a": pa.array(rows[0]), "b": pa.array(rows[1]), "size_a": sizes[0], "size_b": sizes[1], "count": sizes[2]})
 
     return run
 
@@ -242,8 +278,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rank = (len(frequent) - np.arange(len(frequent)))[order]
     postings = docs.where("doc_id is not null").mapInArrow(_prefixes(n, percent, frequent[order], rank), "gram long, node long, size int")
     columns = postings.repartition(tasks(spark), "gram").sortWithinPartitions("gram", "size", "node")
-    edges = columns.mapInArrow(_block_edges(percent), "a long, b long")
-    blocks = cut(connected_components(edges))
+    partial = columns.mapInArrow(_block_edges(percent), "a long, b long, size_a long, size_b long, count long")
+    # counts over all columns; what a prefix has not shared, the rest of the sets could
+    counted = partial.groupBy("a", "b").agg(F.sum("count").alias("count"), F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b"), F.max(F.col("count").isNull()).alias("star"))
+    least = F.expr(f"({percent} * (size_a + size_b) + {99 + percent}) div {100 + percent}")
+    rest = lambda size: F.expr(f"({percent} * {size} + 99) div 100 - 1")
+    edges = counted.where(F.col("star") | (F.col("count") + F.greatest(rest("size_a"), rest("size_b")) >= least)).select("a", "b")
+    blocks = connected_components(edges)
     sized = cut(blocks.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")))
     first = cut(members.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("class_id")))
     needed = (
