@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, tasks
+from .common import BLANK, cut, tasks
 from .jaccard import _runs
 
 #: Items of a shard, about.
@@ -117,7 +117,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         (F.col(cluster_col).isNotNull() if cluster_col else F.lit(True)).alias("known"),
         F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.translate(plain, " ", "")) + 1).cast("long").alias("n_words"),
     ).select("doc_id", "source_code", F.when(F.col("known"), F.col("cluster")).alias("cluster"), "n_words", (F.col("n_words") % capacity).alias("rest"))
-    measured = measured.withColumn("n_full", F.expr(f"n_words div {capacity}"))
+    measured = cut(measured.withColumn("n_full", F.expr(f"n_words div {capacity}")))
     full = (
         measured.where("n_full > 0")
         .select("doc_id", "cluster", F.explode(F.expr("sequence(0, cast(n_full - 1 as int))")).alias("piece"))
