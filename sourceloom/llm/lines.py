@@ -42,7 +42,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = lines.select("doc_id", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
     hashed = keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2"), "doc_id", "pos")
     order = ["h1", "h2", "doc_id", "pos"]
-    ranged = cut(hashed.repartitionByRange(tasks(spark), *order).sortWithinPartitions(*order))
+    # written first: finding the ranges reads the rows twice
+    ranged = cut(cut(hashed).repartitionByRange(tasks(spark), *order).sortWithinPartitions(*order))
     # the first occurrence in each document, then what all documents say of a line
     firsts = ranged.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("pos"))
     known = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")).where(F.col("n_docs") >= min_docs)
