@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, mix, slices, string_hash, tasks, words
+from .common import connected_components, cut, forest, mix, slices, string_hash, tasks, words
 
 #: Most n-grams that are known by name as frequent (the broadcast's bound: 8 bytes each).
 FREQUENT = 1 << 17
@@ -222,17 +222,10 @@ def _product(percent: int, every: bool):
                 link = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
                 x, y = np.nonzero(np.triu(link, 1))
                 if not every and len(x):
-                    label = np.arange(len(own))
-                    while True:
-                        new = label.copy()
-                        np.minimum.at(new, x, label[y])
-                        np.minimum.at(new, y, label[x])
-                        new = new[new]
-                        if (new == label).all():
-                            break
-                        label = new
-                    y = np.flatnonzero(label != np.arange(len(own)))
-                    x = label[y]
+                    one, other = forest(own[x], own[y])
+                    left.append(one)
+                    right.append(other)
+                    continue
                 left.append(own[x])
                 right.append(own[y])
             if left and sum(map(len, left)):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, tasks
+from .common import connected_components, cut, forest, tasks
 from .jaccard import _runs
 
 PASSES = 20
@@ -56,8 +56,8 @@ def _keys(passes: int, bits: int, seed: int):
 
 
 def _neighbours(window: int, least: float):
-    """Pairs of cosine least or more within the window, in rows sorted by (dim,
-    pass, key, id); the window goes on over batches."""
+    """A spanning forest of the pairs of cosine least or more within the window, in
+    rows sorted by (dim, pass, key, id); the window goes on over batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None
@@ -79,9 +79,8 @@ def _neighbours(window: int, least: float):
                     left.append(ids[at])
                     right.append(ids[at + shift])
             if left and sum(map(len, left)):
-                a, b = np.concatenate(left), np.concatenate(right)
-                pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-                yield pa.record_batch({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+                a, b = forest(np.concatenate(left), np.concatenate(right))
+                yield pa.record_batch({"a": pa.array(a), "b": pa.array(b)})
             keep = min(window, table.num_rows)
             tail = table.slice(table.num_rows - keep).to_batches()[0]
 
