@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, string_hash
+from .common import cut, most_frequent, slices, string_hash
 
 #: Most words in the broadcast table, and most ids in it (2 or 4 bytes each, with 12 a word).
 TABLE_WORDS = 1 << 21
@@ -158,14 +158,13 @@ def _word_table(docs: DataFrame, spec):
     counts = docs.mapInArrow(_counted(spec), "word string, count long").groupBy("word").agg(F.sum("count").alias("count")).where("count > 1")
     top = cut(counts.mapInArrow(_encoded(spec), "h long, ids array<int>, count long"))
     # two words of one hash would be mistaken for each other: neither is listed
-    single = top.groupBy("h").agg(F.count("*").alias("n"), F.first("ids").alias("ids"), F.max("count").alias("count")).where("n = 1")
-    table = single.orderBy(F.desc("count"), "h").limit(TABLE_WORDS).select("h", "ids").toArrow().combine_chunks()
+    single = cut(top.groupBy("h").agg(F.count("*").alias("n"), F.max("ids").alias("ids"), F.max("count").alias("count")).where("n = 1"))
+    table = most_frequent(single, TABLE_WORDS, weight=F.size("ids"), most_weight=TABLE_IDS).select("h", "ids").toArrow().combine_chunks()
     if not table.num_rows:
         return np.empty(0, np.uint64), np.zeros(1, np.int64), np.empty(0, np.int32)
     lists = table.column("ids").chunk(0)
     lengths = np.diff(lists.offsets.to_numpy())
-    fit = int(np.searchsorted(np.cumsum(lengths), TABLE_IDS, "right"))
-    hashes = table.column("h").to_numpy()[:fit].view(np.uint64)
+    hashes = table.column("h").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     ids = pa.ListArray.from_arrays(lists.offsets, lists.values).take(pa.array(order))
     return hashes[order], np.concatenate(([0], np.cumsum(lengths[order]))), ids.flatten().to_numpy().astype(np.int32)

@@ -86,6 +86,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def most_frequent(rows: DataFrame, most: int, count: str = "count", weight: F.Column | None = None, most_weight: int = 0) -> DataFrame:
+    """The rows of the highest counts: all above a threshold that leaves at most most
+    rows, of at most most_weight in all if a weight is given. The threshold comes from
+    a histogram of under 70,000 bars, so no more than the bound ever reaches the
+    driver, however many tasks there are. rows should be materialised."""
+    bar = F.when(F.col(count) < 65536, F.col(count)).otherwise(F.lit(65536) + F.floor(F.log2(F.col(count) / 65536) * 16)).cast("long")
+    bars = rows.groupBy(bar.alias("bar")).agg(F.count("*").alias("n"), F.sum(weight if weight is not None else F.lit(0)).alias("w")).toPandas().sort_values("bar", ascending=False)
+    fit = (bars["n"].cumsum() <= most) & (bars["w"].cumsum() <= most_weight)
+    return rows.where(bar >= int(bars["bar"][fit].min())) if fit.any() else rows.limit(0)
+
+
 def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Fewer pairs with the same components: each id with the smallest of its
     component."""

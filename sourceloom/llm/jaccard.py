@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, forest, mix, slices, string_hash, tasks, words
+from .common import connected_components, cut, forest, mix, most_frequent, slices, string_hash, tasks, words
 
 #: Most n-grams that are known by name as frequent (the broadcast's bound: 8 bytes each).
 FREQUENT = 1 << 17
@@ -265,7 +265,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     described = cut(docs.mapInArrow(_described(n), "doc_id long, node long, size long, gram long, count long"))
     members = described.where("size is not null").select("doc_id", "node", "size")
     # frequent n-grams, bounded in number: they only order the columns
-    top = described.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "gram").limit(FREQUENT).toPandas()
+    repeated = cut(described.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("count")))
+    top = most_frequent(repeated, FREQUENT).toPandas().sort_values(["count", "gram"], ascending=[False, True])
     frequent = top["gram"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(frequent)
     rank = (len(frequent) - np.arange(len(frequent)))[order]
