@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Inside of a character class: the white space that separates words.
 BLANK = r"\x20\x09-\x0D"
 #: Bytes of text that one vectorised step works on.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
