@@ -40,7 +40,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     lines = rows.select("doc_id", F.posexplode(_lines(F.col("text"))).alias("pos", "line")).where(F.length("line") >= min_chars)
     keyed = lines.select("doc_id", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
-    hashed = keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2"), "doc_id", "pos")
+    # the salt comes first: after the key it would make h2 a function of h1
+    hashed = keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", "pos")
     order = ["h1", "h2", "doc_id", "pos"]
     # written first: finding the ranges reads the rows twice
     ranged = cut(cut(hashed).repartitionByRange(tasks(spark), *order).sortWithinPartitions(*order))
