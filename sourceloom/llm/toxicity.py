@@ -109,13 +109,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Fitted on at most max_rows labelled rows that are not held out, those whose ids
     have the smallest hashes. Null ids and labels teach nothing; of several labels of
-    an id the largest counts; without rows the model is empty.
+    an id the largest counts, of several texts the smallest; without rows the model is
+    empty.
     """
     known = labels.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("label")).where("__id is not null and label is not null").where(~held_out(F.col("__id"))).groupBy("__id").agg(F.max("label").alias("label"))
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("text"))
     present = known.join(texts.select("__id").distinct(), "__id", "left_semi")
     chosen = cut(present.withColumn("turn", F.xxhash64("__id")).orderBy("turn", "__id").limit(max_rows))
-    rows = texts.join(F.broadcast(chosen), "__id").select("turn", F.col("label").cast("double").alias("label"), "text")
+    # one text for each id, so that repeated rows of an id keep the bound
+    rows = texts.join(F.broadcast(chosen), "__id").groupBy("__id", "turn", "label").agg(F.min("text").alias("text")).select("turn", F.col("label").cast("double").alias("label"), "text")
     featured = rows.mapInArrow(_featured, "turn long, label double, slots array<int>")
     order = F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch")
     turned = featured.select("*", order).withColumn("turn", F.xxhash64("turn", "epoch")).repartition(1).sortWithinPartitions("epoch", "turn", "label")
