@@ -78,6 +78,14 @@ def test_toxicity(spark, docs):
     assert {r["__score"] for r in toxicity.score(docs, empty).collect()} == {0.0} and toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_repeated_rows_teach_once(spark):
+    rows = [(i, f"{'foul' if i % 3 == 0 else 'fair'} word {i % 7}") for i in range(1, 90)]
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    a, b = toxicity.fit(once, labels), toxicity.fit(once.union(once.where("doc_id < 40")).union(once.where("doc_id = 3")), labels)
+    assert len(a[0]) and a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
+
+
 def test_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.9, 0.1]), (4, [0.0, 0.0]), (5, None), (6, [1.0, None]), (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (9, []), (None, [1.0, 0.0]), (10, [1.0, 0.0, 0.0]), (11, [-1.0, 0.0]), (12, [1e200, 1e190])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"cluster": F.lit(1), "id": F.lit(2), "vector": F.lit(3)})
