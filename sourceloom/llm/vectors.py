@@ -2,8 +2,10 @@
 
 Each pass hashes a vector by signs of random projections and concatenates the bits
 to one key; vectors are ordered by it and each is compared with a bounded window of
-neighbours. Verified pairs of all passes are united; components then get an exact
-count of their links, tile by tile, so that a group larger than a window loses none.
+neighbours. Verified pairs of all passes are united. What the passes find thins out as
+rows grow or crowd into a cone, so a sweep over all pairs of tiles then counts every
+link and joins the components that no pass brought together: the result does not
+depend on the passes.
 """
 
 from __future__ import annotations
@@ -16,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, cut, forest, tasks
-from .jaccard import _runs
 
 PASSES = 20
 WINDOW = 48
 BITS = 48
-TILE = 256
+#: Most rows and bytes of a tile of the sweep, and tiles of one partition of it (a task
+#: compares the tiles of two partitions).
+TILE, TILE_BYTES, TILES = 2048, 1 << 20, 4
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
@@ -87,24 +90,55 @@ def _neighbours(window: int, least: float):
     return run
 
 
-def _degrees(least: float):
-    """Weighted links of each vector to others of its tile pair."""
+def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tiles of vectors of one length, each in one row."""
+    held: dict[int, list[pa.RecordBatch]] = {}
+
+    def tile(dim: int, rows: pa.Table) -> pa.RecordBatch:
+        ids, copies, clusters = (rows.column(k).to_numpy() for k in ("id", "copies", "cluster"))
+        blobs = {"ids": ids, "copies": copies, "clusters": clusters, "unit": _unit(_matrix(rows.column("vector")))}
+        return pa.record_batch({"dim": pa.array([dim], pa.int32()), **{k: pa.array([x.tobytes()], pa.binary()) for k, x in blobs.items()}})
+
+    for batch in batches:
+        sizes = batch.column("dim").to_numpy()
+        for dim in map(int, np.unique(sizes)):
+            most = max(1, min(TILE, TILE_BYTES // (8 * dim)))
+            table = pa.Table.from_batches([*held.get(dim, []), batch.filter(pa.array(sizes == dim))])
+            full = table.num_rows - table.num_rows % most
+            for s in range(0, full, most):
+                yield tile(dim, table.slice(s, most))
+            held[dim] = table.slice(full).to_batches()
+    for dim, rest in held.items():
+        if rest:
+            yield tile(dim, pa.Table.from_batches(rest))
+
+
+def _swept(least: float):
+    """From pairs of tiles: (a, null, links), the weighted links of a vector to others
+    of the pair; (a, b, null), components that a link joins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches, ["cluster", "i", "j"]):
-            key = np.stack([table.column(k).to_numpy() for k in ("cluster", "i", "j")])
-            tile, ids, copies = (table.column(k).to_numpy() for k in ("t", "id", "copies"))
-            starts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
-            out_ids, out = [], []
-            for s, e in zip(starts, np.append(starts[1:], len(ids))):
-                unit = _unit(_matrix(table.column("vector").slice(s, e - s)))
-                near = unit @ unit.T >= least
-                np.fill_diagonal(near, False)
-                if key[1, s] != key[2, s]:
-                    near &= tile[s:e, None] != tile[None, s:e]
-                out_ids.append(ids[s:e])
-                out.append(near @ copies[s:e])
-            yield pa.record_batch({"id": pa.array(np.concatenate(out_ids)), "links": pa.array(np.concatenate(out).astype(np.int64))})
+        for batch in batches:
+            for r in range(batch.num_rows):
+                at = {k: np.frombuffer(batch.column(k)[r].as_buffer(), np.float64 if k.startswith("unit") else np.int64) for k in ("ids", "copies", "clusters", "unit", "ids2", "copies2", "clusters2", "unit2")}
+                near = at["unit"].reshape(len(at["ids"]), -1) @ at["unit2"].reshape(len(at["ids2"]), -1).T >= least
+                same = batch.column("same")[r].as_py()
+                if same:
+                    np.fill_diagonal(near, False)
+                x, y = np.nonzero(near)
+                if not len(x):
+                    continue
+                ends = [(at["ids"], x, at["copies2"][y])] + ([] if same else [(at["ids2"], y, at["copies"][x])])
+                for ids, end, weight in ends:
+                    links = np.zeros(len(ids), np.int64)
+                    np.add.at(links, end, weight)
+                    some = np.flatnonzero(links)
+                    yield pa.record_batch({"a": pa.array(ids[some]), "b": pa.nulls(len(some), pa.int64()), "links": pa.array(links[some])})
+                left, right = at["clusters"][x], at["clusters2"][y]
+                apart = left != right
+                if apart.any():
+                    a, b = forest(left[apart], right[apart])
+                    yield pa.record_batch({"a": pa.array(a), "b": pa.array(b), "links": pa.nulls(len(a), pa.int64())})
 
     return run
 
@@ -112,10 +146,10 @@ def _degrees(least: float):
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, passes: int = PASSES, window: int = WINDOW, seed: int = 7) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row.
 
-    Two vectors link when their cosine, in double precision, is least or more. A
-    link is found when in some pass the two stand within window neighbours, or when
-    both end up in one component; found links are exact. Equal vectors are one row
-    of the passes, however many they are, and link with one another.
+    Two vectors link when their cosine, in double precision, is least or more; every
+    link is found, whatever passes and window are. The sweep compares each two
+    distinct vectors of one length. Equal vectors are one row of the passes and of the
+    sweep, however many they are, and link with one another.
 
     Null or zero vectors, vectors with null or non-finite components and empty ones
     link with nothing, nor do vectors of different length. A null id stays as a row
@@ -131,16 +165,18 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     keyed = classes.select("dim", "id", "vector").mapInArrow(_keys(passes, BITS, seed), "dim int, pass int, key long, id long, vector array<double>")
     pairs = keyed.repartitionByRange(tasks(spark), *order).sortWithinPartitions(*order).mapInArrow(_neighbours(window, least), "a long, b long")
     found = cut(connected_components(pairs).withColumnRenamed("node", "id").withColumnRenamed("component", "cluster"))
-    sized = found.groupBy("cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    members = (
-        found.join(cut(sized), "cluster").join(classes, "id")
-        .withColumn("t", F.expr("cast(pmod(xxhash64(id), tiles) as int)"))
-        .withColumn("o", F.explode(F.expr("sequence(0, tiles - 1)")))
-        .select("cluster", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "id", "copies", "vector")
-    )
-    tiled = members.repartition(tasks(spark), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id")
-    degrees = tiled.mapInArrow(_degrees(least), "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
-    named = cut(classes.join(found, "id", "left").join(degrees, "id", "left").select("vector", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("cluster", "id").alias("component_id")))
+    labels = cut(classes.select("id").distinct().join(found, "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster")))
+    placed = classes.join(labels, "id").select("dim", "id", "copies", "cluster", "vector")
+    rooms = classes.groupBy("dim").count().agg(F.sum(F.ceil(F.col("count") / F.greatest(F.lit(1), F.least(F.lit(TILE), F.expr(f"{TILE_BYTES} div (8 * dim)")))))).first()[0] or 1
+    tiles = cut(placed.repartition(-(-int(rooms) // TILES)).mapInArrow(_tiled, "dim int, ids binary, copies binary, clusters binary, unit binary").withColumn("tile", F.monotonically_increasing_id()))
+    others = tiles.select(*[F.col(c).alias(f"{c}2") for c in tiles.columns])
+    # not an equality of columns, by which one task would get all tiles
+    both = tiles.join(others, (F.col("tile") <= F.col("tile2")) & (F.col("dim") - F.col("dim2") == 0)).withColumn("same", F.col("tile") == F.col("tile2"))
+    swept = cut(both.mapInArrow(_swept(least), "a long, b long, links long"))
+    degrees = swept.where("links is not null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
+    joined = cut(connected_components(swept.where("links is null")).withColumnRenamed("node", "cluster"))
+    final = labels.join(joined, "cluster", "left").select("id", F.coalesce("component", "cluster").alias("component_id"))
+    named = cut(classes.join(final, "id").join(degrees, "id", "left").select("vector", "copies", F.coalesce("links", F.lit(0)).alias("links"), "component_id"))
     good = rows.where("sound").join(named, "vector").select("vec_id", (F.col("copies") - 1 + F.col("links")).cast("long").alias("n_links"), "component_id")
     rest = rows.where("not sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return good.union(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -95,6 +95,25 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_in_a_cone_lose_no_link(spark):
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    mean, away = unit(rng.standard_normal(64)), lambda n: unit(rng.standard_normal((n, 64)))
+    cone = unit(2.3 * mean + away(4000))
+    rows = np.concatenate([cone, unit(cone[:200] + 0.45 * away(200)), unit(rng.standard_normal((100, 64)))])
+    near = rows @ rows.T >= 0.9
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows.tolist())], "vec_id long, embedding array<double>").union(spark.createDataFrame([(9000, [1.0, 0.0]), (9001, [1.0, 0.1])], "vec_id long, embedding array<double>"))
+    want = {i: i for i in range(len(rows))}
+    while (new := {i: min([want[i], *(want[j] for j in np.flatnonzero(near[i]))]) for i in want}) != want:
+        want = new
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    assert near.sum() > 300 and got.pop(9000) == (1, 9000) and got.pop(9001) == (1, 9000)
+    assert got == {i: (int(near[i].sum()), want[i]) for i in want}
+    # whatever the passes find
+    assert vectors.near_vectors(df, passes=1, window=1).where("n_links > 0").count() == (near.any(axis=1)).sum() + 2
+
+
 def test_jaccard(docs):
     rows = jaccard.near_duplicates(docs).collect()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
