@@ -16,8 +16,8 @@ from .common import cut
 MARK = r"^[\x20\t]{0,3}(?:>[\x20\t]?)+"
 #: A line that announces a quote.
 ATTRIBUTION = r"(?:wrote|writes|said|schrieb|a écrit|escribió)[\x20\t]*:[\x20\t]*$"
-#: Shorter lines link only as part of a whole passage.
-MIN_LINE = 12
+#: Between paragraphs.
+GAP = r"\n[\s\xA0]*\n"
 
 
 def normal(text: Column) -> Column:
@@ -37,8 +37,10 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     (sorts a conversation in reply order), formatted, of each row.
 
     The parent is the message of an earlier turn that first said what is quoted:
-    outer levels and whole passages count before inner levels and single lines, more
-    lines before fewer, later turns before earlier ones. Null texts are empty. Rows
+    outer levels count before inner ones, whole passages before paragraphs of them and
+    those before single lines, more of these before fewer, later turns before earlier
+    ones. However short, each is looked up among whole messages, paragraphs and lines,
+    white space and case aside; a part of a line that is quoted alone finds none. Null texts are empty. Rows
     with a null conversation or turn quote no one and are quoted by no one; rows that
     repeat a turn share its links. Other columns are not looked at. No rows give none.
     """
@@ -58,13 +60,13 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     run_of = F.expr("sum(new) over (partition by conv_id, turn order by i rows unbounded preceding)")
     quoted = line_rows.withColumn("run", run_of).where("level > 0")
     said = F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("i", "body"))), lambda x: x["body"]))
-    passages = quoted.groupBy("conv_id", "turn", "run", "level").agg(said.alias("body")).select("conv_id", "turn", "level", normal(F.col("body")).alias("unit"), F.lit(1).alias("whole"))
+    passages = quoted.groupBy("conv_id", "turn", "run", "level").agg(said.alias("body")).select("conv_id", "turn", "level", normal(F.col("body")).alias("unit"), F.lit(2).alias("whole"), F.split("body", GAP, -1).alias("parts"))
+    parts = passages.where(F.size("parts") > 1).select("conv_id", "turn", "level", F.explode(F.transform("parts", normal)).alias("unit"), F.lit(1).alias("whole"))
     lines = quoted.select("conv_id", "turn", "level", normal(F.col("body")).alias("unit"), F.lit(0).alias("whole"))
-    asked = passages.where("unit <> ''").unionByName(lines.where(F.length("unit") >= MIN_LINE)).select("conv_id", "turn", "level", "whole", F.xxhash64("unit").alias("h"))
+    asked = passages.drop("parts").unionByName(parts).unionByName(lines).where("unit <> ''").select("conv_id", "turn", "level", "whole", F.xxhash64("unit").alias("h"))
 
     # originals: whole messages, paragraphs and lines; the first turn that has a unit
-    paragraphs = F.split("text", r"\n[\x20\t]*\n")
-    units = F.array_distinct(F.concat(F.array(F.col("text")), paragraphs, F.filter(F.split("text", "\n"), lambda x: F.length(x) >= MIN_LINE)))
+    units = F.array_distinct(F.concat(F.array(F.col("text")), F.split("text", GAP, -1), F.split("text", "\n", -1)))
     told = named.select("conv_id", F.col("turn").alias("origin"), F.explode(units).alias("unit")).select("conv_id", "origin", F.xxhash64(normal(F.col("unit"))).alias("h"), normal(F.col("unit")).alias("unit")).where("unit <> ''")
     convs = asked.select("conv_id").distinct()
     first = told.join(convs, "conv_id", "left_semi").groupBy("conv_id", "h").agg(F.min("origin").alias("origin"))

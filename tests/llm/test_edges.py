@@ -179,3 +179,16 @@ def test_quotes(spark):
     assert got[1, 4].parent_turn is None and got[2, 0].text == "" and got[None, 1].parent_turn is None
     assert [r.turn for r in sorted((r for k, r in got.items() if k[0] == 1), key=lambda r: r.order_key)] == [0, 2, 3, 1, 4]
     assert quotes.link_quotes(df.limit(0)).count() == 0
+
+
+def test_quotes_short_and_partial(spark):
+    long = "The first paragraph is\nwrapped here.\n\nThe second paragraph goes on\nfor two lines.\n\nThe third one is not quoted."
+    rows = [
+        (1, 0, "Sure.\nLet me check."), (1, 1, "Other words."), (1, 2, "> Sure.\nThanks."),
+        (2, 0, "Buy:\n- bread\n- milk\n- eggs\n- tea"), (2, 1, "ok"), (2, 2, "> - milk\n> - eggs\nHow many?"),
+        (3, 0, long), (3, 1, "ok"), (3, 2, "> The first\n> paragraph is wrapped here.\n> \n> The second paragraph goes\n> on for two lines.\nYes."),
+        (4, 0, "a whole\npassage"), (4, 1, "passage"), (4, 2, "> a whole passage\nx"), (5, 0, "Sure."), (5, 1, "> No.\nx"),
+    ]
+    df = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.text) for r in quotes.link_quotes(df).collect()}
+    assert [got[c, 2] for c in (1, 2, 3, 4)] == [(0, "Thanks."), (0, "How many?"), (0, "Yes."), (0, "x")] and got[5, 1] == (None, "x")
