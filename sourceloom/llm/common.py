@@ -44,6 +44,11 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_hash(text: F.Column) -> F.Column:
+    """Tells texts of one id apart; null is the empty text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a slice holds about SLICE_BYTES of the text column (a
     longer text is a slice of its own)."""

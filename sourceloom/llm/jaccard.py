@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, forest, mix, most_frequent, slices, string_hash, tasks, words
+from .common import connected_components, cut, forest, mix, most_frequent, slices, string_hash, tasks, text_hash, words
 
 #: Most n-grams that are known by name as frequent (the broadcast's bound: 8 bytes each).
 FREQUENT = 1 << 17
@@ -58,8 +58,8 @@ def _name(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _described(n: int):
-    """Rows of two kinds: a document's set size and name; an n-gram that repeats
+def _described(n: int, hashed: bool):
+    """Rows of two kinds: a document's set size and name, with hashed its text_hash too; an n-gram that repeats
     among the documents of about COUNTED n-grams, with its count."""
 
     def repeated(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -67,7 +67,7 @@ def _described(n: int):
             grams, counts = np.unique(np.concatenate(held), return_counts=True)
             grams, counts = grams[counts > 1], counts[counts > 1]
             m = len(grams)
-            yield pa.record_batch({"doc_id": pa.nulls(m, pa.int64()), "node": pa.nulls(m, pa.int64()), "size": pa.nulls(m, pa.int64()), "gram": pa.array(grams.view(np.int64)), "count": pa.array(counts.astype(np.int64))})
+            yield pa.record_batch({**({"text_hash": pa.nulls(m, pa.int64())} if hashed else {}), "doc_id": pa.nulls(m, pa.int64()), "node": pa.nulls(m, pa.int64()), "size": pa.nulls(m, pa.int64()), "gram": pa.array(grams.view(np.int64)), "count": pa.array(counts.astype(np.int64))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -76,7 +76,7 @@ def _described(n: int):
             for part in slices(batch, "text"):
                 sets = list(shingle_sets(part.column("text"), n))
                 yield pa.record_batch(
-                    {"doc_id": part.column("doc_id"), "node": pa.array([_name(s) for s in sets], pa.int64()), "size": pa.array([len(s) for s in sets], pa.int64()), "gram": pa.nulls(len(sets), pa.int64()), "count": pa.nulls(len(sets), pa.int64())}
+                    {**({"text_hash": part.column("text_hash")} if hashed else {}), "doc_id": part.column("doc_id"), "node": pa.array([_name(s) for s in sets], pa.int64()), "size": pa.array([len(s) for s in sets], pa.int64()), "gram": pa.nulls(len(sets), pa.int64()), "count": pa.nulls(len(sets), pa.int64())}
                 )
                 held += sets
                 total += sum(map(len, sets))
@@ -248,12 +248,12 @@ def _sets(n: int):
     return run
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, every_link: bool = False) -> tuple[DataFrame, DataFrame]:
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, every_link: bool = False, hashed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Documents whose word n-gram sets have Jaccard similarity percent/100 or more.
 
     Returns (members, links). members: doc_id, n_shingles, class_id (smallest doc_id
     with the same set) for each row. links: pairs (a, b) of class hashes
-    (members.node); with every_link all links between different sets, else enough of
+    (members.node); with hashed members have text_hash; with every_link all links between different sets, else enough of
     them to join each component.
 
     Null and blank texts have an empty set and link with nothing; a null id stays as
@@ -262,8 +262,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    described = cut(docs.mapInArrow(_described(n), "doc_id long, node long, size long, gram long, count long"))
-    members = described.where("size is not null").select("doc_id", "node", "size")
+    named = ["text_hash"] if hashed else []
+    texts = docs.select(*[text_hash(F.col("text")).alias(x) for x in named], "doc_id", "text")
+    described = cut(texts.mapInArrow(_described(n, hashed), ("text_hash long, " if hashed else "") + "doc_id long, node long, size long, gram long, count long"))
+    members = described.where("size is not null").select(*named, "doc_id", "node", "size")
     # frequent n-grams, bounded in number: they only order the columns
     repeated = cut(described.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("count")))
     top = most_frequent(repeated, FREQUENT).toPandas().sort_values(["count", "gram"], ascending=[False, True])
@@ -295,19 +297,21 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     tiles = rows.repartition(tasks(spark), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     links = cut(tiles.mapInArrow(_product(percent, every_link), "a long, b long"))
-    return members.join(first, "node", "left").select("doc_id", F.col("size").alias("n_shingles"), "node", "class_id"), links
+    return members.join(first, "node", "left").select(*named, "doc_id", F.col("size").alias("n_shingles"), "node", "class_id"), links
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, hashed: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id of each document: the smallest doc_id that
-    links reach, itself included (null where doc_id is null). See jaccard_join."""
-    members, links = jaccard_join(docs, id_col, text_col, n, percent)
+    links reach, itself included (null where doc_id is null); with hashed text_hash
+    too, which tells texts of one doc_id apart. See jaccard_join."""
+    members, links = jaccard_join(docs, id_col, text_col, n, percent, hashed=hashed)
     found = connected_components(links)
     first = members.where("doc_id is not null and n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     labelled = found.join(first, "node")
     smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("smallest"))
     named = cut(labelled.join(smallest, "component").select("node", "smallest"))
     return members.join(named, "node", "left").select(
+        *(["text_hash"] if hashed else []),
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("smallest", "class_id"))).alias("component_id"),

@@ -192,3 +192,16 @@ def test_quotes_short_and_partial(spark):
     df = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
     got = {(r.conv_id, r.turn): (r.parent_turn, r.text) for r in quotes.link_quotes(df).collect()}
     assert [got[c, 2] for c in (1, 2, 3, 4)] == [(0, "Thanks."), (0, "How many?"), (0, "Yes."), (0, "x")] and got[5, 1] == (None, "x")
+
+
+def test_texts_of_one_id_are_kept_apart(spark):
+    import corpus_pipeline
+
+    line = "a line of more than twenty characters"
+    rows = [(1, f"{line}\nown one"), (1, f"other words of one\n{line}\nmore\nyet more"), (2, line), (3, f"{line}\nx")]
+    got = sorted((r.doc_id, r["__kept_text"]) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, "other words of one\nmore\nyet more"), (1, "own one"), (2, ""), (3, f"{line}\nx")]
+    copied, alone = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, copied), (2, copied + " end"), (2, alone), (3, alone + " end"), (None, copied)], "doc_id long, text string")
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert kept == {(1, copied), (2, alone), (None, copied)}
