@@ -9,7 +9,7 @@ positions), never text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BLANK, cut, tasks, text_hash
@@ -43,10 +43,12 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # the salt comes first: after the key it would make h2 a function of h1
     hashed = keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", "text_hash", "pos")
     order = ["h1", "h2", "doc_id", "text_hash", "pos"]
-    # written first: finding the ranges reads the rows twice
-    ranged = cut(cut(hashed).repartitionByRange(tasks(spark), *order).sortWithinPartitions(*order))
-    # the first occurrence in each document, then what all documents say of a line
-    firsts = ranged.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("pos"))
+    # written first: finding the ranges reads the rows twice; a line of one document is
+    # in one range, so whether a row is its first shows from the row before
+    here = Window.partitionBy("h1", "h2", "doc_id").orderBy("text_hash", "pos")
+    ranged = cut(cut(hashed).repartitionByRange(tasks(spark), *order[:3]).sortWithinPartitions(*order).withColumn("first", F.lag("pos").over(here).isNull()))
+    firsts = ranged.where("first")
+    # what all documents say of a line
     known = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")).where(F.col("n_docs") >= min_docs)
     repeated = cut(known.select("h1", "h2", "keeper"))
     drops = ranged.join(repeated, ["h1", "h2"]).where("doc_id < keeper").groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("pos")).alias("drops"))

@@ -205,3 +205,12 @@ def test_texts_of_one_id_are_kept_apart(spark):
     docs = spark.createDataFrame([(1, copied), (2, copied + " end"), (2, alone), (3, alone + " end"), (None, copied)], "doc_id long, text string")
     kept = {(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
     assert kept == {(1, copied), (2, alone), (None, copied)}
+
+
+def test_first_lines_stream_from_the_ranges(spark, monkeypatch):
+    plans, cut = [], lines.cut
+    monkeypatch.setattr(lines, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    df = spark.createDataFrame([(i, f"a line of more than twenty characters\nown {i}\nA line of more than twenty characters") for i in range(9)], "doc_id long, text string")
+    assert {(r.doc_id, r.n_dropped) for r in lines.keep_bitmaps(df).collect()} == {(i, 2) for i in range(8)}
+    ranged = [p for p in plans if "rangepartitioning" in p]
+    assert len(ranged) == 1 and "Window" in ranged[0] and "hashpartitioning" not in ranged[0] and ranged[0].count("Sort [") == 1
