@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, cut, tasks
-from .jaccard import _runs
+from .common import BLANK, cut, tasks, text_hash
+from .jaccard import _runs, near_duplicates
 
 #: Items of a shard, about.
 SHARD = 4096
@@ -95,14 +95,24 @@ def _packed(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str | None = "source", cluster_col: str | None = None, capacity: int = 2048) -> DataFrame:
+def near_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(text_hash, group) of each text with words: its group of near copies, over all
+    rows; see jaccard.near_duplicates."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # rows without an id have copies too
+    named = docs.select(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit(1), text)).alias("doc_id"), text.alias("text"))
+    return near_duplicates(named, hashed=True).where("n_shingles > 0").groupBy("text_hash").agg(F.min("component_id").alias("group"))
+
+
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str | None = "source", cluster_col: str | None = None, capacity: int = 2048, clusters: DataFrame | None = None) -> DataFrame:
     """A row for each piece of a document: doc_id, piece (0 on), start and length in
     words, bin_id; every word of every text is in exactly one piece.
 
     Whole sequences of a long document have bin_id 'd<doc_id>.<piece>.<row hash>',
     the rest a bin 's<shard>.<bin>' which it shares with rests of other sources and
-    other duplicate clusters only. cluster_col names the duplicate cluster; without
-    it, equal texts (white space and case aside) are a cluster. Null source or
+    other duplicate clusters only. cluster_col names the duplicate cluster, or clusters
+    (see near_clusters) that of a text; without them, and for texts that clusters
+    lacks, equal texts (white space and case aside) are a cluster. Null source or
     cluster conflicts with nothing; null and blank texts have length 0 and one piece
     of their own bin 'e'. Repeated rows are packed as often as they come. Other
     columns are not looked at. No rows give no rows.
@@ -115,19 +125,24 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         (F.col(source_col).cast("string") if source_col else F.lit(None).cast("string")).alias("source_code"),
         (F.xxhash64(F.col(cluster_col)) if cluster_col else F.xxhash64(plain)).alias("cluster"),
         (F.col(cluster_col).isNotNull() if cluster_col else F.lit(True)).alias("known"),
+        text_hash(text).alias("text_hash"),
         F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.translate(plain, " ", "")) + 1).cast("long").alias("n_words"),
-    ).select("doc_id", "source_code", F.when(F.col("known"), F.col("cluster")).alias("cluster"), "n_words", (F.col("n_words") % capacity).alias("rest"))
+    ).select("doc_id", "source_code", F.when(F.col("known"), F.col("cluster")).alias("cluster"), "text_hash", "n_words", (F.col("n_words") % capacity).alias("rest"))
+    # the hash names rows as before, the group is what must not meet
+    measured = measured.withColumn("text_hash", F.when(F.col("n_words") > 0, F.col("text_hash"))).withColumn("own", F.col("cluster"))
+    if clusters is not None:
+        measured = cut(measured).join(cut(clusters), "text_hash", "left").withColumn("cluster", F.coalesce(F.xxhash64("group"), "cluster"))
     measured = cut(measured.withColumn("n_full", F.expr(f"n_words div {capacity}")))
     full = (
         measured.where("n_full > 0")
-        .select("doc_id", "cluster", F.explode(F.expr("sequence(0, cast(n_full - 1 as int))")).alias("piece"))
-        .select("doc_id", "piece", (F.col("piece").cast("long") * capacity).alias("start"), F.lit(capacity).cast("long").alias("length"), F.concat(F.lit("d"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit("."), "piece", F.lit("."), F.lower(F.hex("cluster"))).alias("bin_id"))
+        .select("doc_id", "own", F.explode(F.expr("sequence(0, cast(n_full - 1 as int))")).alias("piece"))
+        .select("doc_id", "piece", (F.col("piece").cast("long") * capacity).alias("start"), F.lit(capacity).cast("long").alias("length"), F.concat(F.lit("d"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit("."), "piece", F.lit("."), F.lower(F.hex("own"))).alias("bin_id"))
     )
     empty = measured.where("n_words = 0").select("doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("length"), F.lit("e").alias("bin_id"))
     rests = measured.where("rest > 0")
     shards = max(1, rests.count() // SHARD)
     dealt = (
-        rests.withColumn("shard", F.expr(f"cast(pmod(xxhash64(doc_id, cluster, n_words), {shards}) as int)"))
+        rests.withColumn("shard", F.expr(f"cast(pmod(xxhash64(doc_id, own, n_words), {shards}) as int)"))
         .select("shard", "doc_id", "n_words", "rest", "source_code", "cluster")
         .repartition(tasks(spark), "shard").sortWithinPartitions("shard", F.desc("rest"), "doc_id", "cluster", "source_code", "n_words")
     )

@@ -57,8 +57,9 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes; see packing.pack."""
-    return packing.pack(read(spark, sf_dir, "documents"))
+    """Where each piece of each document goes, near copies apart; see packing.pack."""
+    docs = read(spark, sf_dir, "documents")
+    return packing.pack(docs, clusters=packing.near_clusters(docs))
 
 
 def op10_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:

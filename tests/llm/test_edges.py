@@ -214,3 +214,14 @@ def test_first_lines_stream_from_the_ranges(spark, monkeypatch):
     assert {(r.doc_id, r.n_dropped) for r in lines.keep_bitmaps(df).collect()} == {(i, 2) for i in range(8)}
     ranged = [p for p in plans if "rangepartitioning" in p]
     assert len(ranged) == 1 and "Window" in ranged[0] and "hashpartitioning" not in ranged[0] and ranged[0].count("Sort [") == 1
+
+
+def test_packing_keeps_near_copies_apart(spark, tmp_path):
+    from sourceloom.llm import queries
+
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{text} end{i}", f"s{i}") for i in range(6)] + [(None, f"{text} END0", "s9"), (None, f"{text} x", "s10"), (20, "few words", "s11"), (21, "other words", "s12")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op9_packing(spark, str(tmp_path)).collect()
+    bins = [r.bin_id for r in got if r.length > 10]
+    assert len(got) == len(rows) and len(bins) == 8 == len(set(bins)) and len({r.bin_id for r in got}) == 8
