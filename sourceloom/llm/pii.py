@@ -2,7 +2,7 @@
 
 Base entities (e-mail, IP, card, phone) are seeds. The words around seeds become
 lexical patterns; a graph joins patterns with the identifier-like tokens in their
-slots. Scores move over that graph for some rounds: a pattern is as good as the share
+slots. Scores move over that graph until nothing new is found: a pattern is as good as the share
 of known instances among all its instances, an instance as good as its patterns.
 Tokens which high-confidence patterns discover are added to the base spans.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, cut
+from .common import BLANK, cut, text_hash
 
 KINDS = ("email", "ip", "card", "phone")
 #: Each finds what the plain pattern finds, but starts once in a run of characters
@@ -28,7 +28,10 @@ NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: A token with a digit or an @.
 TOKEN = rf"(?<![^{BLANK}])[^{BLANK}0-9@]*+[0-9@][^{BLANK}]*+"
 
-MIN_SUPPORT, MIN_CONFIDENCE, MIN_SCORE, ROUNDS = 3, 0.5, 0.7, 2
+#: Groups of digits on one line, a blank between each two.
+GROUPS = rf"(?<![^{BLANK}])[+(]*+[0-9][0-9().-]*+(?:[\x20\t][(]?+[0-9][0-9().-]*+(?=[,;:!?]*+(?![^{BLANK}])))++[,;:!?]*+"
+
+MIN_SUPPORT, MIN_CONFIDENCE, MIN_SCORE = 3, 0.5, 0.7
 
 
 def _placed(text: Column, pattern: str) -> Column:
@@ -47,6 +50,28 @@ def _placed(text: Column, pattern: str) -> Column:
     return F.when(F.regexp_like(text, F.lit(pattern)), placed).otherwise(none)
 
 
+def _in_context(text: Column, pattern: str, joined: bool) -> Column:
+    """array<struct<s,e,t,l,r1,joined>> of all matches: the two words before (^ before
+    the first) and the word after ($ after the last), lower-cased. pattern matches
+    whole words."""
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    none = F.array().cast("array<struct<s:int,e:int,t:string,l:array<string>,r1:string,joined:boolean>>")
+
+    def step(state, x):
+        s = state["p"] + F.length(x["gap"])
+        e = s + F.length(x["t"])
+        l = F.slice(F.concat(state["l"], F.filter(F.split(F.lower(x["gap"]), rf"[{BLANK}]++"), lambda w: w != "")), -2, 2)
+        after = F.lower(F.regexp_extract(F.concat(F.coalesce(x["next_gap"], F.lit("")), F.coalesce(x["next"], F.lit(""))), rf"[^{BLANK}]++", 0))
+        found = F.struct(s.alias("s"), e.alias("e"), x["t"].alias("t"), l.alias("l"), F.when(after == "", "$").otherwise(after).alias("r1"), F.lit(joined).alias("joined"))
+        return F.struct(e.alias("p"), F.array(F.element_at(l, -1), F.lower(x["t"])).alias("l"), F.concat(state["a"], F.array(found)).alias("a"))
+
+    rest = lambda x: F.slice(x, F.lit(2), F.greatest(F.size(x), F.lit(1)))
+    pairs = F.filter(F.arrays_zip(hits.alias("t"), gaps.alias("gap"), rest(hits).alias("next"), rest(gaps).alias("next_gap")), lambda x: x["t"].isNotNull())
+    start = F.struct(F.lit(0).alias("p"), F.array(F.lit("^"), F.lit("^")).alias("l"), none.alias("a"))
+    return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(pairs, start, step)["a"]).otherwise(none)
+
+
 def _luhn(digits: Column) -> Column:
     def add(total, i):
         d = F.substr(digits, F.length(digits) - i + 1, F.lit(1)).cast("int")
@@ -91,42 +116,40 @@ def written(spans: Column) -> Column:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """From (doc_id, text): each identifier-like token with its context words and,
-    when it begins a base entity, that entity's kind."""
+    """From (doc_id, text): each identifier-like token, and each row of digit groups as
+    one, with its whole context words and, when it begins a base entity, that entity's
+    kind. Words and tokens are placed once a text, so time grows with its length."""
     text = F.coalesce("text", F.lit(""))
-    tokens = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"), _placed(text, TOKEN).alias("tokens")).where(F.size("tokens") > 0)
-    spans = tokens.withColumn("base", base_spans(F.col("text")))
-    each = spans.select("doc_id", "text_hash", "base", "text", F.explode("tokens").alias("x"))
+    # neither filter nor plain explode on the tokens: pushed down, it would place them twice
+    tokens = docs.where(F.regexp_like(text, F.lit("[0-9@]"))).select("doc_id", text_hash(F.col("text")).alias("text_hash"), text.alias("text"), F.concat(_in_context(text, TOKEN, False), _in_context(text, GROUPS, True)).alias("tokens"))
+    spans = tokens.select("doc_id", "text_hash", "tokens", base_spans(F.col("text")).alias("base"))
+    each = spans.select("doc_id", "text_hash", "base", F.explode_outer("tokens").alias("x")).where("x is not null")
     bare = F.regexp_replace(F.regexp_replace("x.t", r"^[^\p{L}\p{N}+]++", ""), r"[^\p{L}\p{N}]++\z", "")
     lead = F.length("x.t") - F.length(F.regexp_replace("x.t", r"^[^\p{L}\p{N}+]++", ""))
-    split = lambda part: F.filter(F.split(F.lower(part), rf"[{BLANK}]++"), lambda w: w != "")
-    before = split(F.substr("text", F.greatest(F.col("x.s") - 79, F.lit(1)), F.least(F.col("x.s"), F.lit(80)) - F.when(F.col("x.s") > 79, 1).otherwise(0)))
-    after = split(F.substr("text", F.col("x.e") + 1, F.lit(40)))
     near = F.filter("base", lambda b: (b["s"] < F.col("x.e")) & (b["e"] > F.col("x.s")))
     out = each.select(
         "doc_id", "text_hash", (F.col("x.s") + lead).alias("s"), bare.alias("bare"),
-        F.element_at(F.concat(F.array(F.lit("^"), F.lit("^")), before), -1).alias("l1"),
-        F.element_at(F.concat(F.array(F.lit("^"), F.lit("^")), before), -2).alias("l2"),
-        F.coalesce(F.get(after, F.lit(0)), F.lit("$")).alias("r1"),
-        F.col("x.s").alias("from"), near.alias("near"),
+        F.element_at("x.l", -1).alias("l1"), F.element_at("x.l", -2).alias("l2"), F.col("x.r1").alias("r1"),
+        F.col("x.s").alias("from"), F.col("x.joined").alias("joined"), near.alias("near"),
     )
     seed = F.get(F.filter("near", lambda b: b["s"] >= F.col("from")), F.lit(0))["k"]
     return (
         out.withColumn("seed", seed)
-        .where((F.size("near") == 0) | F.col("seed").isNotNull())
-        .where(F.col("seed").isNotNull() | ((F.length("bare") >= 5) & F.regexp_like("bare", F.lit("[0-9]"))))
+        .where((F.size("near") == 0) | (F.col("seed").isNotNull() & ~F.col("joined")))
+        .where(F.col("seed").isNotNull() | ((F.length("bare") >= 5) & F.regexp_like("bare", F.lit("[0-9@]"))))
         .select("doc_id", "text_hash", "s", (F.col("s") + F.length("bare")).alias("e"), F.lower("bare").alias("instance"), "seed",
                 F.array(F.concat_ws(" ", F.lit("L"), "l2", "l1"), F.concat_ws(" ", F.lit("A"), "l1", F.lit("_"), "r1")).alias("patterns"))
     )
 
 
-def bootstrap(occurring: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE) -> tuple[DataFrame, DataFrame]:
+def bootstrap(occurring: DataFrame, rounds: int | None = None, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE) -> tuple[DataFrame, DataFrame]:
     """(patterns: pattern, kind, confidence; instances: instance, kind, score), by
-    scoring the graph of patterns and instances in rounds."""
+    scoring the graph of patterns and instances in rounds: as many as asked for, else
+    until one names no pattern or instance that none has named before."""
     edges = cut(occurring.select("instance", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.min("seed").alias("seed")))
     seeds = cut(edges.where("seed is not null").groupBy("instance").agg(F.min("seed").alias("kind")).withColumn("score", F.lit(1.0)))
-    instances = seeds
-    for _ in range(rounds):
+    instances, seen, done = seeds, None, 0
+    while rounds is None or done < rounds:
         told = edges.select("pattern", "instance").join(instances, "instance", "left")
         sums = told.groupBy("pattern").agg(F.count("*").alias("n"), *[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(f"k{k}") for k in range(len(KINDS))])
         best = F.greatest(*[f"k{k}" for k in range(len(KINDS))])
@@ -138,6 +161,13 @@ def bootstrap(occurring: DataFrame, rounds: int = ROUNDS, min_support: int = MIN
             .where(F.col("score") >= min_score)
         )
         instances = cut(seeds.unionByName(found.join(seeds, "instance", "left_anti")))
+        done += 1
+        if rounds is None:
+            names = patterns.select(F.concat(F.lit("p"), "pattern").alias("name"), "kind").union(instances.select(F.concat(F.lit("i"), "instance"), "kind"))
+            new = cut(names if seen is None else names.join(seen, ["name", "kind"], "left_anti"))
+            if not (new.limit(1).count() if seen is not None else patterns.limit(1).count()):
+                break
+            seen = new if seen is None else seen.union(new)
     return patterns, instances
 
 

@@ -225,3 +225,24 @@ def test_packing_keeps_near_copies_apart(spark, tmp_path):
     got = queries.op9_packing(spark, str(tmp_path)).collect()
     bins = [r.bin_id for r in got if r.length > 10]
     assert len(got) == len(rows) and len(bins) == 8 == len(set(bins)) and len({r.bin_id for r in got}) == 8
+
+
+def test_pii_finds_whole_identifiers(spark):
+    far = "y" * 120
+    rows = [(i, f"w{i} thanks. send mail to mail{i}@x.example.org now") for i in range(9)]
+    rows += [(20, "please send mail to anna@intranet now"), (21, "we send mail to 555 123 4567, ok")]
+    # contexts of words beyond the old windows: 3 seeds agree, 9 that only begin alike don't
+    rows += [(30 + i, f"left{i} first{far} second{far} box{i}@x.example.org") for i in range(4)] + [(35, f"first{far} second{far} K-12345 end")]
+    rows += [(40 + i, f"first{far}x{i} second{far} H{i}-12345 end") for i in range(9)]
+    texts = dict(rows)
+    got = {r.doc_id: [texts[r.doc_id][x.s : x.e] for x in r.spans] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[20] == ["anna@intranet"] and got[21] == ["555 123 4567"] and got[35] == ["K-12345"] and all(got[40 + i] == [] for i in range(9))
+
+
+def test_pii_goes_on_while_patterns_are_new(spark):
+    # each context is trusted by the instances which the one before has found
+    sizes = (400, 40, 12, 4)
+    rows = [(f"c{c}", f"i{k}.{j}", 0 if k == 0 else None) for c in (1, 2, 3) for k in (c - 1, c) for j in range(sizes[k])]
+    occurring = spark.createDataFrame([(i, s, [p]) for p, i, s in rows], "instance string, seed int, patterns array<string>")
+    two, whole = (pii.bootstrap(occurring, min_score=0.4, **n)[1].count() for n in ({"rounds": 2}, {}))
+    assert (two, whole) == (452, 456)
