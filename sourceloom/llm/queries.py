@@ -63,7 +63,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages without quotes, in reply order by order_key; see quotes.link_quotes."""
+    """Messages without quotes, in reply order by thread_root and position; see
+    quotes.link_quotes."""
     return quotes.link_quotes(read(spark, sf_dir, "conversations"))
 
 

@@ -1,6 +1,9 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and
 columns with clashing names."""
 
+import random
+import re
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -177,10 +180,84 @@ def test_quotes(spark):
     assert got[1, 2].parent_turn == 0 and got[1, 2].text == "I ask again." and got[1, 2].n_quoted == 1
     assert got[1, 3].parent_turn == 2 and got[1, 3].thread_root == 0 and got[1, 3].depth == 2
     assert got[1, 4].parent_turn is None and got[2, 0].text == "" and got[None, 1].parent_turn is None
-    assert [r.turn for r in sorted((r for k, r in got.items() if k[0] == 1), key=lambda r: r.order_key)] == [0, 2, 3, 1, 4]
+    assert [r.turn for r in sorted((r for k, r in got.items() if k[0] == 1), key=lambda r: (r.thread_root, r.position))] == [0, 2, 3, 1, 4]
     assert quotes.link_quotes(df.limit(0)).count() == 0
 
 
+def test_quotes_deep_and_far(spark):
+    deep, far = ">" * 1_000_000 + " x", 10**15
+    rows = [(1, far, "first words"), (1, far + 5, "other words"), (1, far + 7, "> other words\nyes"), (1, -3, "the earliest"), (1, -2, "> the earliest\nso"), (1, 9, deep), (2, 0, "said 0")]
+    n = 3000
+    rows += [(2, i, f"> said {i - 1}\nsaid {i}") for i in range(1, n)] + [(3, 0, "root")] + [(3, i, f"> root\nreply {i}") for i in range(1, 9000, 3)]
+    # a repeated row and one turn with two texts
+    rows += [(4, 0, "one\ntwo\nthree"), (4, 1, "> two\n> three\nok"), (4, 1, "> two\n> three\nok"), (4, 1, "> one\n> two\n> three\nwell")]
+    got = quotes.link_quotes(spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")).collect()
+    assert len(got) == len(rows)
+    by = {(r.conv_id, r.turn): r for r in got}
+    assert by[1, far + 7].parent_turn == far + 5 and by[1, far + 7].thread_root == far + 5 and by[1, -2].parent_turn == -3 and by[1, 9].n_quoted == 1
+    assert all(by[2, i].depth == by[2, i].position == i and by[2, i].thread_root == 0 for i in range(n))
+    assert all(by[3, i].position == (i + 2) // 3 and by[3, i].depth == 1 for i in range(1, 9000, 3))
+    assert [r.parent_turn for r in got if r.conv_id == 4 and r.turn == 1] == [0, 0, 0]
+
+
+def _brute_quotes(rows):
+    """Parent, depth and position of each (conversation, turn), the plain way."""
+    norm = lambda x: re.sub(r"\s+", " ", x).strip().lower()
+    units = lambda t: [t, *re.split(r"\n\s*\n", t), *t.split("\n")]
+    split = {k: [(len(re.match(r"((?:> ?)*)", x).group().replace(" ", "")), re.sub(r"^(?:> ?)+", "", x)) for x in t.split("\n")] for k, t in rows.items()}
+    own = {k: "\n".join(b for n, b in x if n == 0).strip("\n") for k, x in split.items()}
+    parent = {}
+    for (c, t), x in split.items():
+        runs = []
+        for n, b in x:
+            runs = [*runs[:-1], (n, runs[-1][1] + [b])] if runs and runs[-1][0] == n else [*runs, (n, [b])]
+        asked = []
+        for n, bodies in runs:
+            if n:
+                parts = re.split(r"\n\s*\n", "\n".join(bodies))
+                asked += [(n, 2, "\n".join(bodies))] + [(n, 1, p) for p in parts if len(parts) > 1] + [(n, 0, b) for b in bodies]
+        votes = {}
+        for n, w, u in asked:
+            origin = min((o for (d, o), y in own.items() if d == c and norm(u) and norm(u) in map(norm, units(y))), default=None)
+            if origin is not None and origin < t:
+                votes.setdefault(origin, []).append((n, w))
+        if votes:
+            parent[c, t] = max(votes, key=lambda o: (-min(n for n, _ in votes[o]), max(w for _, w in votes[o]), len(votes[o]), o))
+    placed, seen = {}, {}
+
+    def walk(c, t, root, depth):
+        placed[c, t] = (parent.get((c, t)), root, depth, seen.setdefault((c, root), 0))
+        seen[c, root] += 1
+        for u in sorted(u for (d, u), p in parent.items() if (d, p) == (c, t)):
+            walk(c, u, root, depth + 1)
+
+    for c, t in rows:
+        if (c, t) not in parent:
+            walk(c, t, t, 0)
+    return placed
+
+
+def test_quotes_query_equals_brute_force(spark, tmp_path):
+    from sourceloom.llm import queries
+
+    rng = random.Random(5)
+    rows = {}
+    for c in range(12):
+        for t in range(14):
+            lines = []
+            for _ in range(rng.randrange(3)):
+                if rows.get((c, 0)) and t:
+                    quoted = rows[c, rng.randrange(t)].split("\n")
+                    a = rng.randrange(len(quoted))
+                    lines += [">" * rng.choice([1, 1, 2]) + " " + x.lstrip("> ") for x in quoted[a : a + rng.randrange(1, 4)]]
+            lines += [f"line {rng.randrange(30)} of {rng.randrange(3)}" if rng.random() < 0.8 else "" for _ in range(rng.randrange(1, 5))] + [f"own {t}"]
+            rows[c, t] = "\n".join(lines)
+    spark.createDataFrame([(c, t, "user", x) for (c, t), x in rows.items()], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.thread_root, r.depth, r.position) for r in queries.op10_quotes(spark, str(tmp_path)).collect()}
+    want = _brute_quotes(rows)
+    assert sum(x[0] is not None for x in want.values()) > 40 and got == want
+
+
 def test_quotes_short_and_partial(spark):
     long = "The first paragraph is\nwrapped here.\n\nThe second paragraph goes on\nfor two lines.\n\nThe third one is not quoted."
     rows = [
