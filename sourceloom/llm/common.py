@@ -81,6 +81,25 @@ def string_hash(values: pa.Array) -> np.ndarray:
     return pd.util.hash_array(values.to_pandas().to_numpy(dtype=object), categorize=False)
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables that hold whole runs of equal keys, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [batch.column(k)[-1] for k in keys]
+        same = np.ones(batch.num_rows, bool)
+        for k, x in zip(keys, last):
+            same &= batch.column(k).to_numpy(zero_copy_only=False) == x.as_py()
+        start = batch.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
+        if start or (held and [held[-1].column(k)[-1] for k in keys] != last):
+            yield pa.Table.from_batches([*held, batch.slice(0, start)])
+            held = []
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads 64 bits (uint64, in place)."""
     x ^= x >> np.uint64(33)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, forest, mix, most_frequent, slices, string_hash, tasks, text_hash, words
+from .common import connected_components, cut, forest, mix, most_frequent, runs_of, slices, string_hash, tasks, text_hash, words
 
 #: Most n-grams that are known by name as frequent (the broadcast's bound: 8 bytes each).
 FREQUENT = 1 << 17
@@ -114,32 +114,13 @@ def _prefixes(n: int, percent: int, frequent: np.ndarray, rank: np.ndarray):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables that hold whole runs of equal keys, from batches sorted by them."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        last = [batch.column(k)[-1] for k in keys]
-        same = np.ones(batch.num_rows, bool)
-        for k, x in zip(keys, last):
-            same &= batch.column(k).to_numpy(zero_copy_only=False) == x.as_py()
-        start = batch.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
-        if start or (held and [held[-1].column(k)[-1] for k in keys] != last):
-            yield pa.Table.from_batches([*held, batch.slice(0, start)])
-            held = []
-        held.append(batch.slice(start))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _block_edges(percent: int):
     """From postings sorted by (gram, size, node): partial overlap counts of pairs
     whose sizes can link, for columns of up to LONG_COLUMN rows; star edges (count
     null) over the rows of a longer column whose sizes can still link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches, ["gram"]):
+        for table in runs_of(batches, ["gram"]):
             gram, node, size = (table.column(k).to_numpy() for k in ("gram", "node", "size"))
             fresh = np.ones(len(gram), bool)
             fresh[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
@@ -205,7 +186,7 @@ def _product(percent: int, every: bool):
     """Links within the tiles, as all pairs or as a spanning forest of each tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches, ["cluster", "i", "j"]):
+        for table in runs_of(batches, ["cluster", "i", "j"]):
             key = np.stack([table.column(k).to_numpy() for k in ("cluster", "i", "j")])
             starts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
             nodes, arrays = table.column("node").to_numpy(), table.column("grams").combine_chunks()

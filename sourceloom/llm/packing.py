@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, cut, tasks, text_hash
-from .jaccard import _runs, near_duplicates
+from .common import BLANK, cut, runs_of, tasks, text_hash
+from .jaccard import near_duplicates
 
 #: Items of a shard, about.
 SHARD = 4096
@@ -75,7 +75,7 @@ def best_fit(items: list[tuple[int, int, int]], capacity: int) -> list[int]:
 
 def _packed(capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches, ["shard"]):
+        for table in runs_of(batches, ["shard"]):
             shards, rows = table.column("shard").to_pylist(), table.to_pydict()
             start = 0
             while start < len(shards):

@@ -113,8 +113,53 @@ def test_vectors_in_a_cone_lose_no_link(spark):
     got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
     assert near.sum() > 300 and got.pop(9000) == (1, 9000) and got.pop(9001) == (1, 9000)
     assert got == {i: (int(near[i].sum()), want[i]) for i in want}
-    # whatever the passes find
-    assert vectors.near_vectors(df, passes=1, window=1).where("n_links > 0").count() == (near.any(axis=1)).sum() + 2
+
+
+def _links(rows):
+    pairs = np.argwhere(np.triu(rows @ rows.T >= 0.9, 1))
+    return pairs[:, 0], pairs[:, 1], np.bincount(pairs.ravel(), minlength=len(rows))
+
+
+@pytest.mark.parametrize("shape", ["even", "common mean", "hot group", "hot cone"])
+def test_vectors_recall(spark, tmp_path, shape):
+    """Recall against brute force, counts in components exact; the hot group is larger
+    than a window and a tile, and ranges of keys have borders."""
+    rng = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    away = lambda n: unit(rng.standard_normal((n, 64)))
+    mean = away(1)
+    base = {"even": away(6000), "common mean": unit(away(6000) + mean), "hot group": np.concatenate([away(4000), unit(mean + 0.3 * away(2000))]), "hot cone": np.concatenate([away(4000), unit(1.5 * mean + away(2000))])}[shape]
+    at = base[rng.permutation(len(base))[:300]]
+    off = away(300)
+    off = unit(off - (off * at).sum(axis=1, keepdims=True) * at)
+    rows = np.concatenate([base, 0.905 * at + np.sqrt(1 - 0.905**2) * off])
+    x, y, degree = _links(rows)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.component_id, r.n_links) for r in vectors.near_vectors(df).collect())
+    component, links = np.array([r[1] for r in got]), np.array([r[2] for r in got])
+    assert len(x) >= 300 and (component[x] == component[y]).mean() >= 0.98
+    assert (links <= degree).all() and links.sum() >= 0.98 * degree.sum()
+    assert (links == degree).mean() >= 0.98 and (shape != "hot group" or degree[4000:6000].min() > 2 * vectors.WINDOW)
+
+
+def test_vectors_meet_across_borders(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = np.repeat(rng.standard_normal((1500, 64)), 2, axis=0) + rng.standard_normal((3000, 64)) * 0.05
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vectors, "RANGE", 8)
+    # so narrow that most pairs stand astride some border
+    got = vectors.near_vectors(df, passes=12, window=64)
+    assert got.where("n_links = 1 and component_id = vec_id - vec_id % 2").count() == 3000
+
+
+def test_vectors_shells_decide_alike(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    line = np.array([[np.cos(t), np.sin(t)] for t in rng.uniform(0, 6.28, 1500)])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(line.tolist())], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vectors, "TILE", 64)
+    _, _, degree = _links(line)
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(df).collect()}
+    assert [got[i] for i in range(1500)] == degree.tolist()
 
 
 def test_jaccard(docs):
