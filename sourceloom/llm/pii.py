@@ -9,7 +9,7 @@ Tokens which high-confidence patterns discover are added to the base spans.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BLANK, cut, text_hash
@@ -34,42 +34,82 @@ GROUPS = rf"(?<![^{BLANK}])[+(]*+[0-9][0-9().-]*+(?:[\x20\t][(]?+[0-9][0-9().-]*
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_SCORE = 3, 0.5, 0.7
 
 
+#: Array elements that are added up at once; no array grows by more than this.
+CHUNK = 128
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _starts(lengths: Column, levels: int = 3) -> Column:
+    """Sum of all lengths before each. Chunk by chunk, for an array that grows element by
+    element takes the square of its length; chunk sums are added up alike, in levels."""
+    none = F.array().cast("array<int>")
+
+    def step(state, x):
+        return F.struct((state["p"] + x).alias("p"), F.concat(state["a"], F.array(state["p"])).alias("a"))
+
+    def whole(xs, start):
+        return F.aggregate(xs, F.struct(start.alias("p"), none.alias("a")), step)["a"]
+
+    if not levels:
+        return whole(lengths, F.lit(0))
+
+    def chunked(xs):
+        chunks = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / CHUNK).cast("int"))
+        part = lambda i: F.slice(xs, i * CHUNK + 1, F.lit(CHUNK))
+        sums = F.transform(chunks, lambda i: F.aggregate(part(i), F.lit(0), lambda s, x: s + x))
+        return _bound(_starts(sums, levels - 1), lambda offsets: F.flatten(F.transform(chunks, lambda i: whole(part(i), F.get(offsets, i)))))
+
+    return _bound(lengths, lambda xs: F.when(F.size(xs) == 0, none).when(F.size(xs) <= CHUNK, whole(xs, F.lit(0))).otherwise(chunked(xs)))
+
+
 def _placed(text: Column, pattern: str) -> Column:
     """array<struct<s,e,t>> of all matches, in code points, end exclusive."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     none = F.array().cast("array<struct<s:int,e:int,t:string>>")
+    pairs = F.filter(F.arrays_zip(hits.alias("t"), gaps.alias("gap")), lambda x: x["t"].isNotNull())
 
-    def step(state, pair):
-        s = state["p"] + pair["gap"]
-        e = s + F.length(pair["t"])
-        return F.struct(e.alias("p"), F.concat(state["a"], F.array(F.struct(s.alias("s"), e.alias("e"), pair["t"].alias("t")))).alias("a"))
+    def at(xs):
+        starts = _starts(F.transform(xs, lambda x: x["gap"] + F.length(x["t"])))
+        return F.zip_with(xs, starts, lambda x, p: F.struct((p + x["gap"]).alias("s"), (p + x["gap"] + F.length(x["t"])).alias("e"), x["t"].alias("t")))
 
-    pairs = F.filter(F.arrays_zip(hits.alias("t"), gaps.alias("gap")), lambda x: x["t"].isNotNull())
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("p"), none.alias("a")), step)["a"]
-    return F.when(F.regexp_like(text, F.lit(pattern)), placed).otherwise(none)
+    return F.when(F.regexp_like(text, F.lit(pattern)), _bound(pairs, at)).otherwise(none)
 
 
 def _in_context(text: Column, pattern: str, joined: bool) -> Column:
-    """array<struct<s,e,t,l,r1,joined>> of all matches: the two words before (^ before
+    """array<struct<s,e,t,l2,l1,r1,joined>> of all matches: the two words before (^ before
     the first) and the word after ($ after the last), lower-cased. pattern matches
     whole words."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    none = F.array().cast("array<struct<s:int,e:int,t:string,l:array<string>,r1:string,joined:boolean>>")
+    none = F.array().cast("array<struct<s:int,e:int,t:string,l2:string,l1:string,r1:string,joined:boolean>>")
+    words = lambda x: F.filter(F.split(F.lower(x), rf"[{BLANK}]++"), lambda w: w != "")
+    # of each gap its length, its last two words and its first
+    ends = F.transform(gaps, lambda g: F.struct(F.length(g).alias("gap"), words(g).alias("w")))
+    brief = F.transform(ends, lambda x: F.struct(x["gap"].alias("gap"), F.when(F.size(x["w"]) > 2, F.slice(x["w"], -2, 2)).otherwise(x["w"]).alias("last"), F.get(x["w"], F.lit(0)).alias("first")))
+    pairs = F.arrays_zip(hits.alias("t"), brief.alias("g"))  # one gap more than matches
 
-    def step(state, x):
-        s = state["p"] + F.length(x["gap"])
-        e = s + F.length(x["t"])
-        l = F.slice(F.concat(state["l"], F.filter(F.split(F.lower(x["gap"]), rf"[{BLANK}]++"), lambda w: w != "")), -2, 2)
-        after = F.lower(F.regexp_extract(F.concat(F.coalesce(x["next_gap"], F.lit("")), F.coalesce(x["next"], F.lit(""))), rf"[^{BLANK}]++", 0))
-        found = F.struct(s.alias("s"), e.alias("e"), x["t"].alias("t"), l.alias("l"), F.when(after == "", "$").otherwise(after).alias("r1"), F.lit(joined).alias("joined"))
-        return F.struct(e.alias("p"), F.array(F.element_at(l, -1), F.lower(x["t"])).alias("l"), F.concat(state["a"], F.array(found)).alias("a"))
+    def at(xs):
+        starts = _starts(F.transform(xs, lambda x: x["g"]["gap"] + F.length(F.coalesce(x["t"], F.lit("")))))
+        word = lambda x: F.lower(x["t"])
 
-    rest = lambda x: F.slice(x, F.lit(2), F.greatest(F.size(x), F.lit(1)))
-    pairs = F.filter(F.arrays_zip(hits.alias("t"), gaps.alias("gap"), rest(hits).alias("next"), rest(gaps).alias("next_gap")), lambda x: x["t"].isNotNull())
-    start = F.struct(F.lit(0).alias("p"), F.array(F.lit("^"), F.lit("^")).alias("l"), none.alias("a"))
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(pairs, start, step)["a"]).otherwise(none)
+        def found(x, i, p):
+            before, earlier, after = F.get(xs, i - 1), F.get(xs, i - 2), F.get(xs, i + 1)
+            left = F.concat(
+                F.array(F.lit("^"), F.coalesce(word(earlier), F.lit("^"))), F.coalesce(before["g"]["last"], F.array().cast("array<string>")), F.when(before["t"].isNotNull(), F.array(word(before))).otherwise(F.array().cast("array<string>")), x["g"]["last"]
+            )
+            s = p + x["g"]["gap"]
+            r1 = F.coalesce(after["g"]["first"], F.regexp_extract(word(after), rf"[^{BLANK}]++", 0), F.lit("$"))
+            return F.struct(s.alias("s"), (s + F.length(x["t"])).alias("e"), x["t"].alias("t"), F.element_at(left, -2).alias("l2"), F.element_at(left, -1).alias("l1"), r1.alias("r1"), F.lit(joined).alias("joined"))
+
+        all_ = _bound(starts, lambda ps: F.transform(xs, lambda x, i: found(x, i, F.get(ps, i))))
+        return F.filter(all_, lambda x: x["t"].isNotNull())
+
+    return F.when(F.regexp_like(text, F.lit(pattern)), _bound(pairs, at)).otherwise(none)
 
 
 def _luhn(digits: Column) -> Column:
@@ -118,24 +158,29 @@ def written(spans: Column) -> Column:
 def occurrences(docs: DataFrame) -> DataFrame:
     """From (doc_id, text): each identifier-like token, and each row of digit groups as
     one, with its whole context words and, when it begins a base entity, that entity's
-    kind. Words and tokens are placed once a text, so time grows with its length."""
+    kind: the first in KINDS of those that begin in it. Tokens are placed in their text
+    and meet base spans in one ordered pass, so time grows with a text's length."""
     text = F.coalesce("text", F.lit(""))
     # neither filter nor plain explode on the tokens: pushed down, it would place them twice
     tokens = docs.where(F.regexp_like(text, F.lit("[0-9@]"))).select("doc_id", text_hash(F.col("text")).alias("text_hash"), text.alias("text"), F.concat(_in_context(text, TOKEN, False), _in_context(text, GROUPS, True)).alias("tokens"))
-    spans = tokens.select("doc_id", "text_hash", "tokens", base_spans(F.col("text")).alias("base"))
-    each = spans.select("doc_id", "text_hash", "base", F.explode_outer("tokens").alias("x")).where("x is not null")
+    none = F.lit(None)
+    span = F.transform(base_spans(F.col("text")), lambda b: F.struct(b["s"].alias("s"), b["e"].alias("e"), b["k"].alias("k"), none.cast("string").alias("t"), none.cast("string").alias("l2"), none.cast("string").alias("l1"), none.cast("string").alias("r1"), F.array(F.lit(False), F.lit(True)).alias("joined")))
+    own = F.transform("tokens", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), none.cast("int").alias("k"), x["t"].alias("t"), x["l2"].alias("l2"), x["l1"].alias("l1"), x["r1"].alias("r1"), F.array(x["joined"]).alias("joined")))
+    each = tokens.select("doc_id", "text_hash", F.concat(span, own).alias("events")).select("doc_id", "text_hash", F.explode_outer("events").alias("x")).where("x is not null")
+    # a row that comes again tells nothing new
+    events = each.select("doc_id", "text_hash", "x.s", "x.e", "x.k", "x.t", "x.l2", "x.l1", "x.r1", F.explode("x.joined").alias("joined")).distinct()
+    here = Window.partitionBy("doc_id", "text_hash", "joined").orderBy("s", F.col("t").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    is_token = F.col("t").isNotNull()
+    placed = events.withColumn("reach", F.max(F.when(~is_token, F.col("e"))).over(here)).withColumn("token", F.last(F.when(is_token, F.struct("s", "e")), ignorenulls=True).over(Window.partitionBy("doc_id", "text_hash", "joined").orderBy("s", ~F.col("t").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)))
+    inside = placed.where(is_token | (F.col("s") < F.col("token.e")))
+    seen = inside.groupBy("doc_id", "text_hash", "joined", F.col("token.s").alias("from")).agg(
+        F.max(F.when(is_token, F.struct("t", "l2", "l1", "r1"))).alias("x"), F.min("k").alias("seed"), F.max(F.when(is_token, F.coalesce(F.col("reach") > F.col("s"), F.lit(False)))).alias("under")
+    )
     bare = F.regexp_replace(F.regexp_replace("x.t", r"^[^\p{L}\p{N}+]++", ""), r"[^\p{L}\p{N}]++\z", "")
     lead = F.length("x.t") - F.length(F.regexp_replace("x.t", r"^[^\p{L}\p{N}+]++", ""))
-    near = F.filter("base", lambda b: (b["s"] < F.col("x.e")) & (b["e"] > F.col("x.s")))
-    out = each.select(
-        "doc_id", "text_hash", (F.col("x.s") + lead).alias("s"), bare.alias("bare"),
-        F.element_at("x.l", -1).alias("l1"), F.element_at("x.l", -2).alias("l2"), F.col("x.r1").alias("r1"),
-        F.col("x.s").alias("from"), F.col("x.joined").alias("joined"), near.alias("near"),
-    )
-    seed = F.get(F.filter("near", lambda b: b["s"] >= F.col("from")), F.lit(0))["k"]
+    out = seen.select("doc_id", "text_hash", "joined", "seed", "under", (F.col("from") + lead).alias("s"), bare.alias("bare"), "x.l2", "x.l1", "x.r1")
     return (
-        out.withColumn("seed", seed)
-        .where((F.size("near") == 0) | (F.col("seed").isNotNull() & ~F.col("joined")))
+        out.where((F.col("seed").isNull() & ~F.col("under")) | (F.col("seed").isNotNull() & ~F.col("joined")))
         .where(F.col("seed").isNotNull() | ((F.length("bare") >= 5) & F.regexp_like("bare", F.lit("[0-9@]"))))
         .select("doc_id", "text_hash", "s", (F.col("s") + F.length("bare")).alias("e"), F.lower("bare").alias("instance"), "seed",
                 F.array(F.concat_ws(" ", F.lit("L"), "l2", "l1"), F.concat_ws(" ", F.lit("A"), "l1", F.lit("_"), "r1")).alias("patterns"))

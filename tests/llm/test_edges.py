@@ -3,6 +3,7 @@ columns with clashing names."""
 
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -361,6 +362,25 @@ def test_pii_finds_whole_identifiers(spark):
     assert got[20] == ["anna@intranet"] and got[21] == ["555 123 4567"] and got[35] == ["K-12345"] and all(got[40 + i] == [] for i in range(9))
 
 
+@pytest.mark.parametrize("size", [1, 127, 128, 129, 5000, 70000])
+def test_pii_places_are_sums(spark, size):
+    lengths = [(i * 7919) % 13 for i in range(size)]
+    got = spark.createDataFrame([(lengths,)], "x array<int>").select(pii._starts(F.col("x")).alias("y")).first().y
+    assert got == np.concatenate(([0], np.cumsum(lengths)[:-1])).tolist()
+
+
+def test_pii_long_text_of_identifiers(spark):
+    """10 MB with 300,000 identifiers in one text, in time that grows with its length."""
+    n = 150_000
+    text = "".join(f"seen user{i}@mail{i % 7}.example.org at 10.{i % 256}.{i // 256 % 256}.7 id K-{i}\n" for i in range(n))
+    start = time.perf_counter()
+    got = pii.find_pii(spark.createDataFrame([(1, text), (2, "seen x@y.zz at home")], "doc_id long, text string")).select("doc_id", F.size("base").alias("n"), F.size("spans").alias("m"), F.get("base", F.lit(n - 1)).alias("last")).collect()
+    took = time.perf_counter() - start
+    by = {r.doc_id: r for r in got}
+    want = list(re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text))[-1]
+    assert by[1].n == 2 * n and by[1].m >= by[1].n and (by[1].last.s, by[1].last.e) == want.span() and by[2].n == 1 and took < 120
+
+
 def test_pii_goes_on_while_patterns_are_new(spark):
     # each context is trusted by the instances which the one before has found
     sizes = (400, 40, 12, 4)
