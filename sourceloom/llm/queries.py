@@ -72,7 +72,7 @@ QUERIES = {f.__name__: f for f in (op1_pii, op2_quality, op3_urls, op4_bpe, op5_
 
 _WS = r"[\x20\x09-\x0D]"
 _RULES = " ".join(f"+ CASE WHEN {test} THEN {1 << i} ELSE 0 END" for i, (_, test) in enumerate(quality.RULES))
-_PATTERNS = "|".join(w for r in urls.PATTERN_RULES for w in r.literals)
+_PATTERNS = "|".join(f"(?:{r.pattern})" for r in urls.PATTERN_RULES)
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLES = {
@@ -94,7 +94,7 @@ WITH p AS (SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '^.*
            regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path, row_number() OVER () AS r FROM pages),
 rules(rule, h, q, action) AS (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'), ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
 b AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY r)
-SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN action WHEN contains(coalesce(url, ''), '://') AND regexp_matches(lower(url), '(^|[^a-z0-9])({_PATTERNS})([^a-z0-9]|$)') THEN 'block' ELSE 'allow' END AS verdict
+SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN action WHEN contains(coalesce(url, ''), '://') AND regexp_matches(lower(url), '{_PATTERNS}') THEN 'block' ELSE 'allow' END AS verdict
 FROM p LEFT JOIN b USING (r)""",
     "op6_vectors": """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),

@@ -65,6 +65,30 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0)).count() == 0 and urls.judge(pages, rules=urls.BASE_RULES).count() == len(rows)
 
 
+def test_url_rules_meet_few_urls(spark):
+    """Hundreds of rules with several literals: their rarest one fetches a few
+    candidates for a URL, and regular expressions reject some of these."""
+    assert len(urls.PATTERN_RULES) > 400 and sum(len(r.literals) > 1 for r in urls.PATTERN_RULES) > 300
+    rows = ["http://free-bets.example.org/en/1", "http://example.org/free/bets", "http://a.org/user/login", "http://a.org/login-of-user", "http://a.org/x?sid=4", "http://a.org/sid", "http://a.org/b.zip?x", "http://a.org/zip/code", "http://ads.org/track", "http://win.example.org/bets/free"]
+    rows += [f"http://h{i}.example.org/free/{i}" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {rows[r.page_id]: r for r in urls.judge(df, counted=True).collect()}
+    assert [u for u in rows[:10] if got[u].verdict == "block"] == [rows[i] for i in (0, 2, 3, 4, 6)]
+    assert any(r.n_candidates > r.n_fitting for r in got.values()) and all(r.n_candidates < 100 for r in got.values()) and all(got[u].n_candidates == 0 for u in rows[10:])
+    # all rules on all URLs
+    for u in rows:
+        assert got[u].n_fitting == sum(bool(re.search(r.pattern, u)) for r in urls.PATTERN_RULES)
+
+
+def test_url_rules_beyond_broadcast(spark):
+    """More rules than are broadcast, and the other join, give the same verdicts."""
+    many = urls.BASE_RULES + urls.PATTERN_RULES + tuple(urls.Rule("block", rf"/p{i}/q{i % 7}(?:/|$)", (f"p{i}", f"q{i % 7}"), on_url=True) for i in range(urls.BROADCAST_RULES))
+    rows = [f"http://h{i}.example.org/p{i}/q{i % 7 + i % 2}" for i in range(400)] + ["https://www.example.com/en/", "http://k.com/login", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge(df, rules=many).collect()}
+    assert [got[i] for i in range(400)] == ["allow" if i % 2 else "block" for i in range(400)] and (got[400], got[401], got[402]) == ("allow", "allow", "allow")
+
+
 def test_bpe(docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rows = bpe.encode_decode(docs, path).collect()
