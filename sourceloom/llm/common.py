@@ -34,9 +34,17 @@ def ensure_shared_dir(spark: SparkSession) -> None:
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared folder, so that later steps neither repeat the
-    work nor depend on a live executor."""
-    ensure_shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    work nor depend on a live executor.
+
+    A checkpoint hands on its plan's estimated size and constraints. The size of a join
+    is estimated as a product, so over rounds of joins the number itself grows to
+    millions of digits and planning takes longer than any work; a frame over the
+    checkpointed rows alone carries neither.
+    """
+    spark = df.sparkSession
+    ensure_shared_dir(spark)
+    kept = df.checkpoint(eager=True)._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(kept.queryExecution().toRdd(), kept.schema(), False), spark)
 
 
 def tasks(spark: SparkSession) -> int:

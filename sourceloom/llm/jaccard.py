@@ -4,15 +4,21 @@ Rows of the matrix are distinct n-gram sets (documents with one set form a class
 named by a hash of the set), columns are n-grams. Columns are ordered from rare to
 frequent; by the size-derived prefix bound, two sets that link share a column among
 the first n - ceil(t*n) + 1 of each. The product over those columns is zero outside
-of blocks that are found as components over columns; within each block (cut into
-tiles of bounded size) the overlap counts are accumulated over all columns and
-pairs below the bound 100*overlap >= percent*union are discarded. The order of
-columns changes the cost only, never the result.
+of blocks that are found as components over columns; within each block the overlap
+counts are accumulated over all columns and pairs below the bound
+100*overlap >= percent*union are discarded. The order of columns changes the cost
+only, never the result.
+
+A block of more than TILE sets is not multiplied out whole. Sets of one minimum hash
+are multiplied first, in tiles, a few times over; what links there becomes one label.
+Then only tiles of different labels and of sizes that can link are multiplied, so a
+large group of near copies costs a product a tile and seed, not one for each two tiles.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,14 +28,22 @@ from pyspark.sql import functions as F
 
 from .common import connected_components, cut, forest, mix, most_frequent, runs_of, slices, string_hash, tasks, text_hash, words
 
-#: Most n-grams that are known by name as frequent (the broadcast's bound: 8 bytes each).
+#: Most n-grams that are known by name as frequent (the broadcast's bound: 16 bytes each).
 FREQUENT = 1 << 17
 #: N-grams among which repeated ones are looked for at once.
 COUNTED = 4 << 20
+#: Postings of a bucket of columns, about; a column counted more often than HOT is split.
+BUCKET, HOT = 1 << 20, 1 << 16
 #: A column with more rows than this joins its rows by a star instead of pair counts.
 LONG_COLUMN = 64
-#: Rows of a tile of the product.
-TILE = 256
+#: Sets of a tile of the product, and n-grams of one that is sent to others.
+TILE, TILE_GRAMS = 256, 1 << 20
+#: Columns of a tile with fewer rows are multiplied pair by pair.
+SHORT = 12
+#: Minimum hashes by which sets of a large block meet.
+SEEDS = 3
+#: Bits of the filter that names the sets wanted by the product (a bound on its size).
+FILTER_BITS = 1 << 23
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -88,8 +102,9 @@ def _described(n: int, hashed: bool):
     return run
 
 
-def _prefixes(n: int, percent: int, frequent: np.ndarray, rank: np.ndarray):
-    """Postings (gram, node, size) of the prefix columns of each distinct set."""
+def _prefixes(n: int, percent: int, frequent: np.ndarray, rank: np.ndarray, parts: np.ndarray, buckets: int):
+    """Postings (gram, node, size) of the prefix columns of each distinct set: a row for
+    each bucket of columns, with the postings in binary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,127 +123,274 @@ def _prefixes(n: int, percent: int, frequent: np.ndarray, rank: np.ndarray):
                     columns.append(grams[:length])
                     nodes.append(np.full(length, name, np.int64))
                     sizes.append(np.full(length, len(grams), np.int32))
-                if columns:
-                    yield pa.record_batch({"gram": pa.array(np.concatenate(columns).view(np.int64)), "node": pa.array(np.concatenate(nodes)), "size": pa.array(np.concatenate(sizes))})
+                if not columns:
+                    continue
+                gram, node, size = np.concatenate(columns), np.concatenate(nodes), np.concatenate(sizes)
+                place = gram.copy()
+                if len(frequent):
+                    # a hot column lies in several buckets, dealt by its rows
+                    at = np.minimum(np.searchsorted(frequent, gram), len(frequent) - 1)
+                    split = np.where(frequent[at] == gram, parts[at], 1).astype(np.uint64)
+                    place += node.view(np.uint64) % split
+                bucket = (mix(place) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                gram, node, size, bucket = gram[order], node[order], size[order], bucket[order]
+                starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                ends = np.append(starts[1:], len(bucket))
+                blobs = [[x[a:b].tobytes() for a, b in zip(starts, ends)] for x in (gram, node, size)]
+                yield pa.record_batch({"bucket": pa.array(bucket[starts]), **{k: pa.array(x, pa.binary()) for k, x in zip(("gram", "node", "size"), blobs)}})
 
     return run
 
 
 def _block_edges(percent: int):
-    """From postings sorted by (gram, size, node): partial overlap counts of pairs
-    whose sizes can link, for columns of up to LONG_COLUMN rows; star edges (count
-    null) over the rows of a longer column whose sizes can still link."""
+    """From postings sorted by bucket: partial overlap counts of pairs whose sizes can
+    link, for columns of up to LONG_COLUMN rows; star edges (count null) over the rows
+    of a longer column, with the column itself as the hub, so that the parts of a split
+    one meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in runs_of(batches, ["gram"]):
-            gram, node, size = (table.column(k).to_numpy() for k in ("gram", "node", "size"))
-            fresh = np.ones(len(gram), bool)
-            fresh[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
-            gram, node, size = gram[fresh], node[fresh], size[fresh].astype(np.int64)
-            first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.empty(0, np.int64)
-            length = np.repeat(np.diff(np.append(first, len(gram))), np.diff(np.append(first, len(gram))))
-            long = length > LONG_COLUMN
-            out = []
-            if long.any():
-                g, v, z = gram[long], node[long], size[long]
-                start = np.ones(len(g), bool)
-                start[1:] = (g[1:] != g[:-1]) | (100 * z[:-1] < percent * z[1:])
-                at = np.flatnonzero(start)
-                hub = np.repeat(np.minimum.reduceat(v, at), np.diff(np.append(at, len(v))))
-                pairs = np.unique(np.stack([hub[hub != v], v[hub != v]]), axis=1)
-                out.append((pairs, None))
-            short = (length > 1) & ~long
-            g, v, z = gram[short], node[short], size[short]
-            left, right = [], []
-            for shift in range(1, int(length[short].max()) if short.any() else 1):
-                near = np.flatnonzero((g[:-shift] == g[shift:]) & (100 * z[:-shift] >= percent * z[shift:]))
-                left.append(near)
-                right.append(near + shift)
-            if left:
-                x, y = np.concatenate(left), np.concatenate(right)
-                swap = v[x] > v[y]
-                x, y = np.where(swap, y, x), np.where(swap, x, y)
-                order = np.lexsort((v[y], v[x]))
-                x, y = x[order], y[order]
-                new = np.flatnonzero(np.append(True, (v[x][1:] != v[x][:-1]) | (v[y][1:] != v[y][:-1]))) if len(x) else np.empty(0, np.int64)
-                counts = np.diff(np.append(new, len(x)))
-                out.append((np.stack([v[x[new]], v[y[new]], z[x[new]], z[y[new]]]), counts))
-            for rows, counts in out:
-                if rows.shape[1]:
-                    m = rows.shape[1]
-                    sizes = (pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())) if counts is None else (pa.array(rows[2]), pa.array(rows[3]), pa.array(counts))
-                    yield pa.record_batch({"a": pa.array(rows[0]), "b": pa.array(rows[1]), "size_a": sizes[0], "size_b": sizes[1], "count": sizes[2]})
+        for table in runs_of(batches, ["bucket"]):
+            starts = np.flatnonzero(np.diff(table.column("bucket").to_numpy(), prepend=-1))
+            for s, e in zip(starts, np.append(starts[1:], table.num_rows)):
+                rows = table.slice(int(s), int(e - s))
+                yield from edges(*(np.frombuffer(b"".join(rows.column(k).to_pylist()), t) for k, t in (("gram", np.int64), ("node", np.int64), ("size", np.int32))))
+
+    def edges(gram: np.ndarray, node: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((node, size, gram))
+        gram, node, size = gram[order], node[order], size[order]
+        fresh = np.ones(len(gram), bool)
+        fresh[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
+        gram, node, size = gram[fresh], node[fresh], size[fresh].astype(np.int64)
+        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.empty(0, np.int64)
+        length = np.repeat(np.diff(np.append(first, len(gram))), np.diff(np.append(first, len(gram))))
+        long = length > LONG_COLUMN
+        out = []
+        if long.any():
+            out.append((np.stack([gram[long], node[long]]), None))
+        short = (length > 1) & ~long
+        g, v, z = gram[short], node[short], size[short]
+        left, right = [], []
+        for shift in range(1, int(length[short].max()) if short.any() else 1):
+            near = np.flatnonzero((g[:-shift] == g[shift:]) & (100 * z[:-shift] >= percent * z[shift:]))
+            left.append(near)
+            right.append(near + shift)
+        if left:
+            x, y = np.concatenate(left), np.concatenate(right)
+            swap = v[x] > v[y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            order = np.lexsort((v[y], v[x]))
+            x, y = x[order], y[order]
+            new = np.flatnonzero(np.append(True, (v[x][1:] != v[x][:-1]) | (v[y][1:] != v[y][:-1]))) if len(x) else np.empty(0, np.int64)
+            counts = np.diff(np.append(new, len(x)))
+            out.append((np.stack([v[x[new]], v[y[new]], z[x[new]], z[y[new]]]), counts))
+        for rows, counts in out:
+            if rows.shape[1]:
+                m = rows.shape[1]
+                sizes = (pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())) if counts is None else (pa.array(rows[2]), pa.array(rows[3]), pa.array(counts))
+                yield pa.record_batch({"a": pa.array(rows[0]), "b": pa.array(rows[1]), "size_a": sizes[0], "size_b": sizes[1], "count": sizes[2]})
 
     return run
 
 
-def overlaps(sets: list[np.ndarray], columns_at_once: int = 4096) -> np.ndarray:
-    """Overlap counts of every two sets: accumulated products of column blocks."""
-    where = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    grams, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count[column] > 1
-    where, column = where[shared], column[shared]
-    number = np.cumsum(count > 1) - 1
-    column = number[column]
-    total = np.zeros((len(sets), len(sets)), np.float32)
-    order = np.argsort(column, kind="stable")
-    where, column = where[order], column[order]
-    last = int(column[-1]) + 1 if len(column) else 0
-    for low in range(0, last, columns_at_once):
-        a, b = np.searchsorted(column, [low, low + columns_at_once])
-        block = np.zeros((len(sets), min(columns_at_once, last - low)), np.float32)
-        block[where[a:b], column[a:b] - low] = 1
-        total += block @ block.T
-    return total.astype(np.int64)
-
-
-def _product(percent: int, every: bool):
-    """Links within the tiles, as all pairs or as a spanning forest of each tile."""
+def overlaps(sets: list[np.ndarray], others: list[np.ndarray] | None = None, columns_at_once: int = 4096) -> np.ndarray:
+    """Overlap counts of every two sets (of sets and others, if given): a product of
+    sparse rows, accumulated as integers. Columns of few rows are multiplied pair by
+    pair, others in blocks."""
+    whole = sets + (others or [])
+    split = len(sets) if others is not None else 0
+    where = np.repeat(np.arange(len(whole)), [len(s) for s in whole])
+    grams = np.concatenate(whole)
+    order = np.lexsort((where, grams))
+    where, grams = where[order], grams[order]
+    start = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+    count = np.diff(np.append(start, len(grams)))
+    height, width = (split, len(whole) - split) if others is not None else (len(whole), len(whole))
+    total = np.zeros(height * width, np.int64)
+    length = np.repeat(count, count)
+    few = (length > 1) & (length < SHORT)
+    row, gram = where[few], grams[few]
+    for shift in range(1, SHORT - 1):
+        same = np.flatnonzero(gram[:-shift] == gram[shift:])
+        if not len(same):
+            break
+        x, y = row[same], row[same + shift]
+        if others is not None:
+            across = (x < split) & (y >= split)
+            x, y = x[across], y[across] - split
+        total += np.bincount(x * width + y, minlength=len(total))
+    total = total.reshape(height, width)
+    if others is None:
+        total += total.T
+        total[np.arange(height), np.arange(height)] = [len(s) for s in sets]
+    many = np.flatnonzero(count >= SHORT)
+    for low in range(0, len(many), columns_at_once):
+        some = many[low : low + columns_at_once]
+        block = np.zeros((len(whole), len(some)), np.float32)
+        for k, c in enumerate(some):
+            block[where[start[c] : start[c] + count[c]], k] = 1
+        # at most columns_at_once, so exact
+        product = (block[:split] @ block[split:].T if others is not None else block @ block.T).astype(np.int64)
+        if others is None:
+            np.fill_diagonal(product, 0)
+        total += product
+    return total
+
+
+def _rows(table: pa.Table, s: int, e: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Nodes and n-gram sets of some rows, each node once."""
+    nodes, first = np.unique(table.column("node").to_numpy()[s:e], return_index=True)
+    blobs = table.column("grams").slice(s, e - s).to_pylist()
+    return nodes, [np.frombuffer(blobs[x], np.uint64) for x in first]
+
+
+def _product(percent: int, every: bool, keys: list[str]):
+    """Links within the tiles that keys name, as all pairs or as a spanning forest of
+    each tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in runs_of(batches, ["cluster", "i", "j"]):
-            key = np.stack([table.column(k).to_numpy() for k in ("cluster", "i", "j")])
+        for table in runs_of(batches, keys):
+            key = np.stack([table.column(k).to_numpy() for k in keys])
             starts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
-            nodes, arrays = table.column("node").to_numpy(), table.column("grams").combine_chunks()
-            arrays = arrays.chunk(0) if isinstance(arrays, pa.ChunkedArray) else arrays
-            flat, bounds = arrays.values.to_numpy().view(np.uint64), arrays.offsets.to_numpy()
             left, right = [], []
-            for s, e in zip(starts, np.append(starts[1:], len(nodes))):
-                own, first = np.unique(nodes[s:e], return_index=True)
+            for s, e in zip(starts, np.append(starts[1:], table.num_rows)):
+                own, sets = _rows(table, int(s), int(e))
                 if len(own) < 2:
                     continue
-                sets = [flat[bounds[s + x] : bounds[s + x + 1]] for x in first]
-                both = overlaps(sets)
-                sizes = np.array([len(x) for x in sets])
-                link = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
-                x, y = np.nonzero(np.triu(link, 1))
-                if not every and len(x):
-                    one, other = forest(own[x], own[y])
-                    left.append(one)
-                    right.append(other)
-                    continue
-                left.append(own[x])
-                right.append(own[y])
+                both, sizes = overlaps(sets), np.array([len(x) for x in sets])
+                x, y = np.nonzero(np.triu(100 * both >= percent * (sizes[:, None] + sizes[None, :] - both), 1))
+                a, b = (own[x], own[y]) if every or not len(x) else forest(own[x], own[y])
+                left.append(a)
+                right.append(b)
             if left and sum(map(len, left)):
                 yield pa.record_batch({"a": pa.array(np.concatenate(left)), "b": pa.array(np.concatenate(right))})
 
     return run
 
 
-def _sets(n: int):
+TILE_KEYS = ["cluster", "band", "kind", "slot"]
+
+
+def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of each tile in one row."""
+    for table in runs_of(batches, TILE_KEYS):
+        key = np.stack([table.column(k).to_numpy() for k in TILE_KEYS])
+        starts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+        for s, e in zip(starts, np.append(starts[1:], table.num_rows)):
+            rows = table.slice(int(s), int(e - s))
+            nodes, sets = _rows(rows, 0, rows.num_rows)
+            labels = dict(zip(rows.column("node").to_pylist(), rows.column("label").to_pylist()))
+            blobs = {"nodes": nodes, "labels": np.array([labels[x] for x in nodes.tolist()], np.int64), "sizes": np.array([len(x) for x in sets], np.int64), "grams": np.concatenate(sets)}
+            yield pa.record_batch({**{k: pa.array([key[i, s]], pa.int64()) for i, k in enumerate(TILE_KEYS)}, **{k: pa.array([x.tobytes()], pa.binary()) for k, x in blobs.items()}})
+
+
+def _crossed(percent: int, every: bool):
+    """Links between sets of different labels, from pairs of tiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                sides = []
+                for end in ("", "2"):
+                    nodes, labels, sizes = (np.frombuffer(batch.column(k + end)[r].as_buffer(), np.int64) for k in ("nodes", "labels", "sizes"))
+                    sides.append((nodes, labels, sizes, np.split(np.frombuffer(batch.column("grams" + end)[r].as_buffer(), np.uint64), np.cumsum(sizes)[:-1])))
+                (nodes, labels, sizes, sets), (nodes2, labels2, sizes2, sets2) = sides
+                same = batch.column("same")[r].as_py()
+                both = overlaps(sets) if same else overlaps(sets, sets2)
+                link = (100 * both >= percent * (sizes[:, None] + sizes2[None, :] - both)) & (labels[:, None] != labels2[None, :])
+                x, y = np.nonzero(np.triu(link, 1) if same else link)
+                if len(x):
+                    a, b = (nodes[x], nodes2[y]) if every else forest(nodes[x], nodes2[y])
+                    yield pa.record_batch({"a": pa.array(a), "b": pa.array(b)})
+
+    return run
+
+
+def _sets(n: int, wanted):
+    """(doc_id, node, size, grams, m0..) of the sets that the filter lets pass, each once
+    a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8), bitorder="little").astype(bool)
+        seen: set[int] = set()
         for batch in batches:
+            ids = batch.column("doc_id").to_numpy()
+            batch = batch.filter(pa.array(bits[(mix(ids.astype(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)]))
             for part in slices(batch, "text"):
-                sets = list(shingle_sets(part.column("text"), n))
-                if sets:
-                    lengths = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-                    yield pa.record_batch(
-                        {"cluster": part.column("cluster"), "tiles": part.column("tiles"), "wanted": part.column("wanted"), "node": pa.array([_name(s) for s in sets], pa.int64()), "grams": pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(sets).view(np.int64)))}
-                    )
+                rows, names, sets = [], [], []
+                for i, s in enumerate(shingle_sets(part.column("text"), n)):
+                    if len(s) and ((name := _name(s)), part.column("doc_id")[i].as_py()) not in seen:
+                        seen.add((name, part.column("doc_id")[i].as_py()))
+                        rows.append(i)
+                        names.append(name)
+                        sets.append(s)
+                if not rows:
+                    continue
+                least = [[int(mix(s ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)).min().astype(np.int64)) for s in sets] for k in range(SEEDS)]
+                yield pa.record_batch({"doc_id": part.column("doc_id").take(pa.array(rows)), "node": pa.array(names, pa.int64()), "size": pa.array([len(s) for s in sets], pa.int64()), "grams": pa.array([s.tobytes() for s in sets], pa.binary()), "least": pa.array([list(x) for x in zip(*least)], pa.list_(pa.int64()))})
 
     return run
 
 
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits of the filter that a task's ids set, packed by words of 64."""
+    bits = np.zeros(FILTER_BITS, bool)
+    for batch in batches:
+        bits[(mix(batch.column("class_id").to_numpy().astype(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)] = True
+    packed = np.packbits(bits, bitorder="little").view(np.int64)
+    at = np.flatnonzero(packed)
+    yield pa.record_batch({"at": pa.array(at), "word": pa.array(packed[at])})
+
+
+def _wanted(needed: DataFrame) -> bytes:
+    """The filter: FILTER_BITS bits, however many ids there are."""
+    words_ = needed.select("class_id").mapInArrow(_marked, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    packed = np.zeros(FILTER_BITS // 64, np.int64)
+    packed[words_.column("at").to_numpy()] = words_.column("word").to_numpy()
+    return packed.tobytes()
+
+
+def _large_blocks(large: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Links (a, b) within blocks of more than TILE sets. large: cluster, node, size,
+    grams, least."""
+    spark = large.sparkSession
+    if every:
+        labelled = large.select("cluster", "node", "size", F.col("node").alias("label"))
+        first = None
+    else:
+        seeded = large.select("cluster", "node", F.posexplode("least").alias("seed", "m"))
+        groups = seeded.groupBy("cluster", "seed", "m").agg(F.ceil(F.count("*") / TILE).alias("slots"))
+        dealt = seeded.join(groups, ["cluster", "seed", "m"]).withColumn("slot", F.pmod(F.xxhash64("node", "seed"), F.col("slots")))
+        keys = ["cluster", "seed", "m", "slot"]
+        tiles = large.select("node", "grams").join(dealt.select(*keys, "node"), "node").withColumn("seed", F.col("seed").cast("long"))
+        first = cut(tiles.repartition(tasks(spark), *keys).sortWithinPartitions(*keys).mapInArrow(_product(percent, False, keys), "a long, b long"))
+        labels = connected_components(first).withColumnRenamed("component", "label")
+        labelled = large.select("cluster", "node", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = cut(labelled)
+    several = labelled.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cluster")
+    # sizes of linked sets lie in one band or in neighbouring ones
+    band = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("size")
+    rest = cut(labelled.join(several, "cluster").withColumn("band", band.cast("long")))
+    counts = rest.groupBy("cluster", "band", "label").agg(F.count("*").alias("n"))
+    # a label of its own tiles, or 0 for those that share some
+    kinds = counts.select("cluster", "band", "label", F.when(F.col("n") >= TILE // 2, F.col("label")).otherwise(0).alias("kind"))
+    named = cut(rest.join(kinds, ["cluster", "band", "label"]))
+    tiles = cut(named.groupBy("cluster", "band", "kind").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).alias("slots")))
+    placed = named.join(tiles, ["cluster", "band", "kind"]).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots"))).select(*TILE_KEYS, "node", "label")
+    spread = tiles.select("cluster", "band", "kind", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"))
+    ahead = spread.withColumn("band2", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    behind = spread.select("cluster", *[F.col(c).alias(f"{c}2") for c in ("band", "kind", "slot")])
+    pairs = ahead.join(behind, ["cluster", "band2"]).where("(band < band2 or kind < kind2 or (kind = kind2 and slot <= slot2)) and not (kind = kind2 and kind <> 0)")
+    blobs = cut(
+        large.select("node", "grams").join(placed, "node").repartition(tasks(spark), *TILE_KEYS).sortWithinPartitions(*TILE_KEYS)
+        .mapInArrow(_tiled, "cluster long, band long, kind long, slot long, nodes binary, labels binary, sizes binary, grams binary")
+    )
+    names = ["cluster", *[F.col(c).alias(f"{c}2") for c in ("band", "kind", "slot", "nodes", "labels", "sizes", "grams")]]
+    matched = pairs.join(blobs, TILE_KEYS).join(blobs.select(*names), ["cluster", "band2", "kind2", "slot2"]).withColumn("same", F.expr("band = band2 and kind = kind2 and slot = slot2"))
+    crossed = matched.mapInArrow(_crossed(percent, every), "a long, b long")
+    return crossed if first is None else first.unionByName(crossed)
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, every_link: bool = False, hashed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Documents whose word n-gram sets have Jaccard similarity percent/100 or more.
 
@@ -247,37 +409,34 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = docs.select(*[text_hash(F.col("text")).alias(x) for x in named], "doc_id", "text")
     described = cut(texts.mapInArrow(_described(n, hashed), ("text_hash long, " if hashed else "") + "doc_id long, node long, size long, gram long, count long"))
     members = described.where("size is not null").select(*named, "doc_id", "node", "size")
-    # frequent n-grams, bounded in number: they only order the columns
+    # frequent n-grams, bounded in number: they only order the columns and split hot ones
     repeated = cut(described.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("count")))
     top = most_frequent(repeated, FREQUENT).toPandas().sort_values(["count", "gram"], ascending=[False, True])
     frequent = top["gram"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(frequent)
     rank = (len(frequent) - np.arange(len(frequent)))[order]
-    postings = docs.where("doc_id is not null").mapInArrow(_prefixes(n, percent, frequent[order], rank), "gram long, node long, size int")
-    columns = postings.repartition(tasks(spark), "gram").sortWithinPartitions("gram", "size", "node")
+    parts = (top["count"].to_numpy(dtype=np.int64) // HOT + 1)[order]
+    total = members.agg(F.sum("size")).first()[0] or 0
+    buckets = max(tasks(spark), total * (100 - percent) // 100 // BUCKET)
+    postings = docs.where("doc_id is not null").mapInArrow(_prefixes(n, percent, frequent[order], rank, parts, buckets), "bucket long, gram binary, node binary, size binary")
+    columns = postings.repartitionById(min(buckets, tasks(spark)), F.expr(f"cast(bucket % {min(buckets, tasks(spark))} as int)")).sortWithinPartitions("bucket")
     partial = columns.mapInArrow(_block_edges(percent), "a long, b long, size_a long, size_b long, count long")
     # counts over all columns; what a prefix has not shared, the rest of the sets could
     counted = partial.groupBy("a", "b").agg(F.sum("count").alias("count"), F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b"), F.max(F.col("count").isNull()).alias("star"))
     least = F.expr(f"({percent} * (size_a + size_b) + {99 + percent}) div {100 + percent}")
     rest = lambda size: F.expr(f"({percent} * {size} + 99) div 100 - 1")
     edges = counted.where(F.col("star") | (F.col("count") + F.greatest(rest("size_a"), rest("size_b")) >= least)).select("a", "b")
-    blocks = connected_components(edges)
-    sized = cut(blocks.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")))
+    # a long column is a node of the graph too, but no set
     first = cut(members.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("class_id")))
-    needed = (
-        blocks.join(sized, "component").join(first, "node")
-        .select(F.col("class_id").alias("doc_id"), F.col("component").alias("cluster"), "tiles", F.col("node").alias("wanted"))
-    )
-    rows = (
-        docs.join(needed, "doc_id").select("cluster", "tiles", "wanted", "text")
-        .mapInArrow(_sets(n), "cluster long, tiles int, wanted long, node long, grams array<long>")
-        .where("node = wanted")
-        .withColumn("t", F.expr("cast(pmod(xxhash64(node), tiles) as int)"))
-        .withColumn("o", F.explode(F.expr("sequence(0, tiles - 1)")))
-        .select("cluster", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "node", "grams")
-    )
-    tiles = rows.repartition(tasks(spark), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    links = cut(tiles.mapInArrow(_product(percent, every_link), "a long, b long"))
+    blocks = cut(connected_components(edges).join(first, "node").select("node", "class_id", F.col("component").alias("cluster")))
+    sized = blocks.groupBy("cluster").agg(F.count("*").alias("held")).where("held > 1")
+    needed = cut(blocks.join(sized, "cluster"))
+    passing = spark.sparkContext.broadcast(_wanted(needed))
+    sets = docs.where("doc_id is not null").mapInArrow(_sets(n, passing), "doc_id long, node long, size long, grams binary, least array<long>")
+    rows = cut(sets.join(needed.withColumnRenamed("class_id", "doc_id"), ["doc_id", "node"]).drop("doc_id"))
+    small = rows.where(f"held <= {TILE}").select("cluster", "node", "grams").repartition(tasks(spark), "cluster").sortWithinPartitions("cluster").mapInArrow(_product(percent, every_link, ["cluster"]), "a long, b long")
+    large = rows.where(f"held > {TILE}").drop("held").dropDuplicates(["node"])
+    links = cut(small.unionByName(_large_blocks(cut(large), percent, every_link)) if sized.where(f"held > {TILE}").limit(1).count() else small)
     return members.join(first, "node", "left").select(*named, "doc_id", F.col("size").alias("n_shingles"), "node", "class_id"), links
 
 

@@ -194,6 +194,55 @@ def test_jaccard(docs):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_overlaps_are_counts():
+    rng = np.random.default_rng(6)
+    for size in (2, 9, 40):
+        # some columns of few sets, some of all
+        sets = [np.unique(np.concatenate([rng.integers(0, 60, 20), 1000 + rng.integers(0, 4000, 30), np.arange(500, 520)])).astype(np.uint64) for _ in range(size)]
+        want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+        assert (jaccard.overlaps(sets) == want).all()
+        assert (jaccard.overlaps(sets[:3], sets[3:]) == want[:3, 3:]).all() if size > 3 else True
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """A large group of near copies, a chain whose ends don't link, texts that share most
+    of a passage with the group but don't link, groups of few, and repeated rows."""
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, " ".join(base[: i % 55] + [f"x{i}"] + base[i % 55 + 1 :])) for i in range(300)]
+    rows += [(1000 + i, " ".join(base[:40] + [f"o{i}w{j}" for j in range(15 + i % 20)])) for i in range(150)]
+    rows += [(2000 + i, " ".join(f"c{j}" for j in range(5 * i, 5 * i + 100))) for i in range(120)]
+    rows += [(3000 + i, " ".join([f"g{i // 3}w{j}" for j in range(70)] + [f"e{i}"])) for i in range(60)]
+    rows += [rows[0]] * 200
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(8), dict(rows)
+
+
+@pytest.mark.parametrize("tile, long_", [(256, 64), (16, 64), (16, 8)])
+def test_jaccard_of_large_blocks(crowded, monkeypatch, tile, long_):
+    from .test_whole import components, shingles
+
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "LONG_COLUMN", long_)
+    monkeypatch.setattr(jaccard, "HOT", 50)
+    df, texts = crowded
+    want = components({i: shingles(t) for i, t in texts.items()})
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(df).collect()}
+    assert got == want and len({want[i] for i in range(300)}) < 40 and len({want[i] for i in range(2000, 2120)}) == 1
+
+
+def test_jaccard_gives_every_link(crowded, monkeypatch):
+    from .test_whole import shingles
+
+    monkeypatch.setattr(jaccard, "TILE", 16)
+    df, texts = crowded
+    members, links = jaccard.jaccard_join(df, every_link=True)
+    node = {r.node: r.class_id for r in members.collect()}
+    got = {tuple(sorted((node[r.a], node[r.b]))) for r in links.collect()}
+    sets = {i: shingles(t) for i, t in texts.items()}
+    want = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert got == want and len(want) > 4000
+
+
 def test_lines(docs):
     got = by_id(lines.dedup_lines(docs))
     assert got[1]["__kept_text"] == "own one" and got[2]["__n_dropped"] == 1 and got[3]["__kept_text"].startswith("\tA shared") and got[None]["__n_dropped"] == 0
