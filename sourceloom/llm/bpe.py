@@ -1,10 +1,11 @@
 """Byte-level BPE through a table of distinct words.
 
-Texts are split into words; the words of the whole corpus are counted and each
-distinct one that repeats is encoded once. The table of the most frequent ones (a
-bounded number of bytes) goes to all tasks, which join ids back by position. A word
-outside of it, one that occurs once or is rarer than the bound allows, is encoded
-where it stands. Decoding joins ids with the pieces of the vocabulary.
+Texts are split into words. Each slice of about 4 MB of text keeps the numbers of its
+words in their order and sends its distinct words to the buckets of a table, by hash. A
+bucket encodes each distinct word of the corpus that falls to it once, whichever slices
+ask, and answers each slice with the ids of its words; there ids are joined back by
+position. The table is never in one place: a task holds one bucket of it at a time.
+Decoding joins ids with the pieces of the vocabulary.
 """
 
 from __future__ import annotations
@@ -16,15 +17,16 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, most_frequent, slices, string_hash
+from .common import cut, runs_of, slices, string_hash, tasks
 
-#: Most words in the broadcast table, and most ids in it (2 or 4 bytes each, with 12 a word).
-TABLE_WORDS = 1 << 21
-TABLE_IDS = 1 << 23
+#: Buckets of the table for each task of a shuffle, and words that are encoded at once.
+BUCKETS, AT_ONCE = 8, 1 << 16
 #: The split of byte-level BPE, and how it writes bytes as characters.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: From here on, character classes can depend on the library's Unicode version.
@@ -58,6 +60,10 @@ class Codec:
         for piece, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             known = piece not in self.special and all(c in bytes_of for c in piece)
             self.pieces[i] = bytes(bytes_of[c] for c in piece) if known else piece.encode()
+        self.id_type = np.dtype(np.uint16 if max(self.pieces) < 1 << 16 else np.uint32)
+        every = range(max(self.pieces) + 1)
+        self.piece_table = pa.array([self.pieces.get(i, b"") for i in every], pa.large_binary())
+        self.decimals = pa.array([b"%d" % i for i in every], pa.large_binary())
 
     def words(self, text: str) -> list[str]:
         if self.at_special and any(s in text for s in self.special):
@@ -69,6 +75,11 @@ class Codec:
             return SPLIT.findall(text)
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
+    def joined(self, table: pa.Array, ids: np.ndarray, bounds: np.ndarray, between: bytes) -> list[bytes]:
+        """What the table has for the ids of each document, in one piece."""
+        taken = table.take(pa.array(ids.astype(np.int64)))
+        return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), taken), pa.scalar(between, pa.large_binary())).to_pylist()
+
     def encode(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
@@ -94,82 +105,126 @@ def _coded(own: Codec, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa
     return np.array(bounds), coded.indices.to_numpy(), coded.dictionary
 
 
-def _counted(spec):
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers from 0 in few bytes: one each below 255, three below 65,790, else eleven."""
+    low, mid = np.minimum(values, 255).astype(np.uint8), values[values >= 255] - 255
+    far = mid[mid >= 65535] - 65535
+    return np.array([len(low), len(mid)], np.int64).tobytes() + low.tobytes() + np.minimum(mid, 65535).astype(np.uint16).tobytes() + far.astype(np.int64).tobytes()
+
+
+def _widened(blob: bytes) -> np.ndarray:
+    n, m = np.frombuffer(blob, np.int64, 2)
+    out = np.frombuffer(blob, np.uint8, n, 16).astype(np.int64)
+    mid = np.frombuffer(blob, np.uint16, m, 16 + n).astype(np.int64)
+    mid[mid == 65535] += np.frombuffer(blob, np.int64, -1, 16 + n + 2 * m)
+    out[out == 255] += mid
+    return out
+
+
+def _split(spec, buckets: int):
+    """Rows of two kinds. Bucket -1: a slice's documents, words of each, numbers of the
+    words (the more frequent in the slice, the smaller) and the bucket of each number.
+    Others: the slice's distinct words of a bucket, in the order of their numbers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "text"):
-                _, codes, distinct = _coded(own, part)
-                yield pa.record_batch({"word": distinct, "count": pa.array(np.bincount(codes, minlength=len(distinct)).astype(np.int64))})
+                bounds, codes, distinct = _coded(own, part)
+                order = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                words = distinct.take(pa.array(order))
+                place = (string_hash(words) % np.uint64(buckets)).astype(np.int64) if len(words) else np.empty(0, np.int64)
+                yield pa.record_batch({
+                    "slice": pa.array([number], pa.int64()), "bucket": pa.array([-1], pa.int32()), "docs": pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                    "a": pa.array([_squeezed(np.diff(bounds))], pa.binary()), "b": pa.array([_squeezed(rank[codes])], pa.binary()), "c": pa.array([_squeezed(place)], pa.binary()),
+                })
+                by = np.argsort(place, kind="stable")
+                dealt, at = words.take(pa.array(by)).cast(pa.large_binary()), place[by]
+                flat, ends = dealt.buffers()[2], np.frombuffer(dealt.buffers()[1], np.int64, len(by) + 1)
+                starts = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(by) else np.empty(0, np.int64)
+                stops = np.append(starts[1:], len(by)).astype(np.int64)
+                yield pa.record_batch({
+                    "slice": pa.array(np.full(len(starts), number)), "bucket": pa.array(at[starts].astype(np.int32)), "docs": pa.nulls(len(starts), pa.list_(pa.int64())),
+                    "a": pa.array([_squeezed(np.diff(ends[s : e + 1])) for s, e in zip(starts, stops)], pa.binary()), "b": pa.array([bytes(flat[ends[s] : ends[e]]) for s, e in zip(starts, stops)], pa.binary()), "c": pa.nulls(len(starts), pa.binary()),
+                })
+                number += 1
 
     return run
 
 
 def _encoded(spec):
+    """From rows sorted by bucket: the number of ids of each word, and the ids. A word is
+    encoded once for its bucket."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
+        known: dict[bytes, np.ndarray] = {}
+        held: list[tuple[int, list[bytes]]] = []
+        bucket, waiting = None, 0
+
+        def answered() -> Iterator[pa.RecordBatch]:
+            new = list(dict.fromkeys(w for _, words in held for w in words if w not in known))
+            known.update(zip(new, (np.array(x, np.int64) for x in own.encode([w.decode("utf-8") for w in new]))))
+            for number, words in held:
+                ids = [known[w] for w in words]
+                yield pa.record_batch({
+                    "slice": pa.array([number], pa.int64()), "bucket": pa.array([bucket], pa.int32()), "docs": pa.nulls(1, pa.list_(pa.int64())),
+                    "a": pa.array([_squeezed(np.array(list(map(len, ids)), np.int64))], pa.binary()), "b": pa.array([np.concatenate(ids).astype(own.id_type).tobytes()], pa.binary()), "c": pa.nulls(1, pa.binary()),
+                })
+
         for batch in batches:
-            ids = own.encode(batch.column("word").to_pylist())
-            yield pa.record_batch({"h": pa.array(string_hash(batch.column("word")).view(np.int64)), "ids": pa.array(ids, pa.list_(pa.int32())), "count": batch.column("count")})
+            for number, at, lengths, flat in zip(*(batch.column(c).to_pylist() for c in ("slice", "bucket", "a", "b"))):
+                if at != bucket or waiting >= AT_ONCE:
+                    yield from answered()
+                    held, waiting = [], 0
+                    if at != bucket:
+                        known, bucket = {}, at
+                ends = np.concatenate(([0], np.cumsum(_widened(lengths)))).tolist()
+                held.append((number, [flat[s:e] for s, e in zip(ends[:-1], ends[1:])]))
+                waiting += len(ends)
+        yield from answered()
 
     return run
 
 
-def _joined(spec, table, whole: bool):
+def _whole(spec, digest: bool):
+    """Documents of each slice, from its rows sorted by bucket."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
-        hashes, bounds, ids = table.value
-        for batch in batches:
-            for part in slices(batch, "text"):
-                starts, codes, distinct = _coded(own, part)
-                own_hashes = string_hash(distinct) if len(distinct) else np.empty(0, np.uint64)
-                at = np.minimum(np.searchsorted(hashes, own_hashes), max(0, len(hashes) - 1))
-                known = hashes[at] == own_hashes if len(hashes) else np.zeros(len(own_hashes), bool)
-                word_ids: list = [ids[bounds[i] : bounds[i + 1]].tolist() if k else None for i, k in zip(at, known)]
-                missing = np.flatnonzero(~known)
-                for i, new in zip(missing, own.encode(distinct.take(pa.array(missing)).to_pylist())):
-                    word_ids[i] = new
-                lengths = np.array([len(x) for x in word_ids], np.int64)
-                total = np.concatenate(([0], np.cumsum(lengths[codes])))
-                listed = np.array([",".join(map(str, x)) for x in word_ids], object)
-                pieces = np.empty(len(word_ids), object)
-                pieces[:] = [b"".join([own.pieces[i] for i in x]) for x in word_ids]
-                flat = np.array([i for x in word_ids for i in x], np.int32)
-                at_word = np.concatenate(([0], np.cumsum(lengths)))
-                out_ids, decoded, written = [], [], []
-                for s, e in zip(starts[:-1], starts[1:]):
-                    own_codes = codes[s:e]
-                    written.append(",".join(listed[own_codes]))
-                    decoded.append(b"".join(pieces[own_codes]).decode("utf-8", "replace"))
-                    out_ids.append(np.concatenate([flat[at_word[c] : at_word[c + 1]] for c in own_codes]) if whole and e > s else np.empty(0, np.int32))
-                columns = {"doc_id": part.column("doc_id"), "n_tokens": pa.array(total[starts[1:]] - total[starts[:-1]])}
-                if whole:
-                    yield pa.record_batch(columns | {"ids": pa.array(out_ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())})
+        for table in runs_of(batches, ["slice"]):
+            numbers = table.column("slice").to_numpy()
+            starts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+            for s, e in zip(starts, np.append(starts[1:], len(numbers))):
+                rows = table.slice(int(s), int(e - s))
+                a, b = rows.column("a").to_pylist(), rows.column("b").to_pylist()
+                per_doc, codes, place = _widened(a[0]), _widened(b[0]), _widened(rows.column("c")[0].as_py())
+                # ids of the distinct words, bucket by bucket, and where each number's are
+                lengths = np.concatenate([_widened(x) for x in a[1:]]) if len(a) > 1 else np.empty(0, np.int64)
+                listed = np.frombuffer(b"".join(b[1:]), own.id_type)
+                by = np.argsort(place, kind="stable")
+                first, held = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
+                first[by], held[by] = np.cumsum(lengths) - lengths, lengths
+                # joined back by position
+                many = held[codes]
+                ends = np.cumsum(many)
+                ids = listed[np.repeat(first[codes] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)]
+                bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(per_doc)))]
+                columns = {"doc_id": rows.column("docs").combine_chunks()[0].values, "n_tokens": pa.array(np.diff(bounds))}
+                # the id-to-piece join
+                decoded = [x.decode("utf-8", "replace") for x in own.joined(own.piece_table, ids, bounds, b"")]
+                if digest:
+                    sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string())
+                    yield pa.record_batch(columns | {"ids_sha256": sha(own.joined(own.decimals, ids, bounds, b",")), "decoded_sha256": sha(x.encode() for x in decoded)})
                 else:
-                    sha = lambda x: hashlib.sha256(x.encode("utf-8")).hexdigest()
-                    yield pa.record_batch(columns | {"ids_sha256": pa.array(list(map(sha, written)), pa.string()), "decoded_sha256": pa.array(list(map(sha, decoded)), pa.string())})
+                    yield pa.record_batch(columns | {"ids": pa.array([ids[s:e].astype(np.int32) for s, e in zip(bounds[:-1], bounds[1:])], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())})
 
     return run
 
 
-def _word_table(docs: DataFrame, spec):
-    """(sorted hashes, bounds, ids) of the most frequent repeated words, within
-    TABLE_WORDS and TABLE_IDS."""
-    counts = docs.mapInArrow(_counted(spec), "word string, count long").groupBy("word").agg(F.sum("count").alias("count")).where("count > 1")
-    top = cut(counts.mapInArrow(_encoded(spec), "h long, ids array<int>, count long"))
-    # two words of one hash would be mistaken for each other: neither is listed
-    single = cut(top.groupBy("h").agg(F.count("*").alias("n"), F.max("ids").alias("ids"), F.max("count").alias("count")).where("n = 1"))
-    table = most_frequent(single, TABLE_WORDS, weight=F.size("ids"), most_weight=TABLE_IDS).select("h", "ids").toArrow().combine_chunks()
-    if not table.num_rows:
-        return np.empty(0, np.uint64), np.zeros(1, np.int64), np.empty(0, np.int32)
-    lists = table.column("ids").chunk(0)
-    lengths = np.diff(lists.offsets.to_numpy())
-    hashes = table.column("h").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    ids = pa.ListArray.from_arrays(lists.offsets, lists.values).take(pa.array(order))
-    return hashes[order], np.concatenate(([0], np.cumsum(lengths[order]))), ids.flatten().to_numpy().astype(np.int32)
-
-
 def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """doc_id, n_tokens and ids (array<int>), decoded (string) of each row; with
     digest their SHA-256 instead: ids_sha256 of the decimal ids joined by commas,
@@ -183,7 +238,11 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = spark.sparkContext.broadcast(_word_table(docs, spec))
+    schema, parts = "slice long, bucket int, docs array<long>, a binary, b binary, c binary", tasks(spark)
+    split = cut(docs.mapInArrow(_split(spec, BUCKETS * parts), schema))
+    asked = split.where("bucket >= 0").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    answers = asked.mapInArrow(_encoded(spec), schema)
+    whole = split.where("bucket < 0").unionByName(answers).repartition(parts, "slice").sortWithinPartitions("slice", "bucket")
     if digest:
-        return docs.mapInArrow(_joined(spec, table, False), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return docs.mapInArrow(_joined(spec, table, True), "doc_id long, n_tokens long, ids array<int>, decoded string")
+        return whole.mapInArrow(_whole(spec, True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return whole.mapInArrow(_whole(spec, False), "doc_id long, n_tokens long, ids array<int>, decoded string")

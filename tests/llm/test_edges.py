@@ -97,6 +97,48 @@ def test_bpe(docs):
     assert bpe.encode_decode(docs.limit(0), path).count() == 0
 
 
+def test_bpe_squeezes_numbers():
+    for values in ([], [0], [254, 255, 256, 65789, 65790, 65791, 10**12], list(range(70000))):
+        assert bpe._widened(bpe._squeezed(np.array(values, np.int64))).tolist() == values
+
+
+def test_bpe_encodes_each_word_once(spark, monkeypatch):
+    """A row for each slice and bucket asks; words that many slices share are encoded by
+    one bucket, and repeated rows and one long text come back whole."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(bpe, "BUCKETS", 3)
+    rows = [(i % 50, f"shared words and own{i} é😀 " * (1 + i % 9)) for i in range(400)] + [(60, "long text " * 200_000), (61, None), (61, None)]
+    calls = spark.sparkContext.accumulator(0)
+    real = bpe._encoded
+
+    def counting(spec):
+        inner = real(spec)
+
+        def run(batches):
+            own = bpe.codec(spec.value)
+            encode = own.encode
+
+            def counted(words):
+                calls.add(len(words))
+                return encode(words)
+
+            own.encode = counted
+            yield from inner(batches)
+            del own.encode
+
+        return run
+
+    monkeypatch.setattr(bpe, "_encoded", counting)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sorted((r.doc_id, r.decoded, r.ids) for r in bpe.encode_decode(df, path).collect())
+    t = Tokenizer.from_file(path)
+    assert got == sorted((i, x or "", t.encode(x or "", add_special_tokens=False).ids) for i, x in rows)
+    words = {w for _, x in rows for w, _ in t.pre_tokenizer.pre_tokenize_str(x or "")}
+    assert calls.value == len(words)
+
+
 def test_toxicity(spark, docs):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int").withColumn("text", F.lit("x"))
     model = toxicity.fit(docs, labels)
