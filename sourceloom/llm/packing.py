@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .common import BLANK, cut, runs_of, tasks, text_hash
 from .jaccard import near_duplicates
 
-#: Items of a shard, about.
-SHARD = 4096
+#: Items of a shard, about, and numbers that deal repeated rows to different shards.
+SHARD, SPREAD = 4096, 1024
 
 
 def best_fit(items: list[tuple[int, int, int]], capacity: int) -> list[int]:
@@ -114,24 +114,28 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     (see near_clusters) that of a text; without them, and for texts that clusters
     lacks, equal texts (white space and case aside) are a cluster. Null source or
     cluster conflicts with nothing; null and blank texts have length 0 and one piece
-    of their own bin 'e'. Repeated rows are packed as often as they come. Other
-    columns are not looked at. No rows give no rows.
+    of their own bin 'e'. Repeated rows are packed as often as they come, dealt to
+    shards by their place in the input. Texts are read whole. Other columns are not
+    looked at. No rows give no rows.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    bare = F.ltrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    # a character for each word, so one pass counts them
+    n_words = F.length(F.regexp_replace(bare, rf"[^{BLANK}]++[{BLANK}]*+", "x")).cast("long")
     plain = F.trim(F.lower(F.regexp_replace(text, rf"[{BLANK}]++", " ")))
+    named = F.xxhash64(F.col(cluster_col)) if cluster_col else text_hash(text) if clusters is not None else F.xxhash64(plain)
     measured = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.col(source_col).cast("string") if source_col else F.lit(None).cast("string")).alias("source_code"),
-        (F.xxhash64(F.col(cluster_col)) if cluster_col else F.xxhash64(plain)).alias("cluster"),
-        (F.col(cluster_col).isNotNull() if cluster_col else F.lit(True)).alias("known"),
-        text_hash(text).alias("text_hash"),
-        F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.translate(plain, " ", "")) + 1).cast("long").alias("n_words"),
-    ).select("doc_id", "source_code", F.when(F.col("known"), F.col("cluster")).alias("cluster"), "text_hash", "n_words", (F.col("n_words") % capacity).alias("rest"))
-    # the hash names rows as before, the group is what must not meet
-    measured = measured.withColumn("text_hash", F.when(F.col("n_words") > 0, F.col("text_hash"))).withColumn("own", F.col("cluster"))
+        F.when(F.col(cluster_col).isNotNull() if cluster_col else F.lit(True), named).alias("cluster"),
+        text_hash(text).alias("text_hash"), n_words.alias("n_words"),
+    ).select("doc_id", "source_code", "cluster", "text_hash", "n_words", (F.col("n_words") % capacity).alias("rest"), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).alias("salt"))
+    # the hash names rows, the group is what must not meet
+    measured = cut(measured.withColumn("own", F.col("cluster")))
     if clusters is not None:
-        measured = cut(measured).join(cut(clusters), "text_hash", "left").withColumn("cluster", F.coalesce(F.xxhash64("group"), "cluster"))
+        keyed = measured.withColumn("text_hash", F.when(F.col("n_words") > 0, F.col("text_hash")))
+        measured = keyed.join(cut(clusters), "text_hash", "left").withColumn("cluster", F.coalesce(F.xxhash64("group"), "cluster"))
     measured = cut(measured.withColumn("n_full", F.expr(f"n_words div {capacity}")))
     full = (
         measured.where("n_full > 0")
@@ -142,7 +146,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rests = measured.where("rest > 0")
     shards = max(1, rests.count() // SHARD)
     dealt = (
-        rests.withColumn("shard", F.expr(f"cast(pmod(xxhash64(doc_id, own, n_words), {shards}) as int)"))
+        rests.withColumn("shard", F.expr(f"cast(pmod(xxhash64(doc_id, own, n_words, salt), {shards}) as int)"))
         .select("shard", "doc_id", "n_words", "rest", "source_code", "cluster")
         .repartition(tasks(spark), "shard").sortWithinPartitions("shard", F.desc("rest"), "doc_id", "cluster", "source_code", "n_words")
     )

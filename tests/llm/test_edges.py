@@ -307,6 +307,53 @@ def test_packing(docs):
     assert packing.pack(docs.limit(0)).count() == 0 and packing.pack(docs, source_col=None, cluster_col="cluster", capacity=1000).count() == len(rows)
 
 
+def test_packing_deals_repeated_rows_to_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 100)
+    df = spark.createDataFrame([(1, "five words are in here", "s")] * 5000, "doc_id long, text string, source string").repartition(3)
+    shards = [r.n for r in packing.pack(df, source_col=None, cluster_col=None).groupBy(F.split("bin_id", r"\.")[0].alias("shard")).agg(F.count("*").alias("n")).collect()]
+    assert sum(shards) == 5000 and len(shards) == 50 and max(shards) < 300
+
+
+def test_packing_query_keeps_its_rules(spark):
+    """Every word in one piece, no bin over its capacity, no two of a source or of a group
+    of near copies in a bin, and bins about as few as any packing needs."""
+    from sourceloom.llm import queries
+
+    folder = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r for r in queries.read(spark, folder, "documents").collect()}
+    group = {r.doc_id: r.component_id for r in queries.op7_jaccard(spark, folder).collect()}
+    rows = queries.op9_packing(spark, folder).collect()
+    bins, words = {}, {}
+    for r in rows:
+        words[r.doc_id] = words.get(r.doc_id, 0) + r.length
+        if r.bin_id.startswith("s"):
+            bins.setdefault(r.bin_id, []).append(r)
+    assert words == {i: len(re.findall(r"[^\x20\x09-\x0D]+", d.text or "")) for i, d in docs.items()}
+    for own in bins.values():
+        sources, groups = [docs[r.doc_id].source for r in own], [group[r.doc_id] for r in own]
+        assert sum(r.length for r in own) <= 2048 and len(set(sources)) == len(sources) and len(set(groups)) == len(groups)
+    items = [(r.length, docs[r.doc_id].source, group[r.doc_id]) for r in rows if r.bin_id.startswith("s")]
+    most = max(sum(s == x for _, s, _ in items) for x in {s for _, s, _ in items})
+    assert len(bins) <= 1.1 * max(most, -(-sum(n for n, _, _ in items) // 2048)) + 1
+
+
+def test_best_fit_takes_the_tightest_bin():
+    """Each item goes to a compatible bin of the least residual: among bins of one
+    residual any may be taken, so bins are replayed by the choices made."""
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        items = [(int(rng.integers(1, 60)), int(rng.integers(-1, 4)), int(rng.integers(-1, 6))) for _ in range(60)]
+        got = packing.best_fit(items, 64)
+        bins: dict = {}
+        for k in sorted(range(len(items)), key=lambda i: -items[i][0]):
+            n, s, c = items[k]
+            own = ({("s", s)} if s >= 0 else set()) | ({("c", c)} if c >= 0 else set())
+            fit = [r for r, carried in bins.values() if r >= n and not carried & own]
+            left, carried = bins.get(got[k], (64, set()))
+            assert left == (min(fit) if fit else 64) and not carried & own and (got[k] in bins) == bool(fit)
+            bins[got[k]] = (left - n, carried | own)
+
+
 def test_best_fit_against_brute_force():
     rng = np.random.default_rng(1)
     for _ in range(60):
