@@ -40,6 +40,8 @@ LONG_COLUMN = 64
 TILE, TILE_GRAMS = 256, 1 << 20
 #: Columns of a tile with fewer rows are multiplied pair by pair.
 SHORT = 12
+#: Tiles of a block that are all multiplied with one another, whatever they hold.
+FEW_TILES = 16
 #: Minimum hashes by which sets of a large block meet.
 SEEDS = 3
 #: Bits of the filter that names the sets wanted by the product (a bound on its size).
@@ -269,39 +271,34 @@ def _product(percent: int, every: bool, keys: list[str]):
 
 
 TILE_KEYS = ["cluster", "band", "kind", "slot"]
-
-
-def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sets of each tile in one row."""
-    for table in runs_of(batches, TILE_KEYS):
-        key = np.stack([table.column(k).to_numpy() for k in TILE_KEYS])
-        starts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
-        for s, e in zip(starts, np.append(starts[1:], table.num_rows)):
-            rows = table.slice(int(s), int(e - s))
-            nodes, sets = _rows(rows, 0, rows.num_rows)
-            labels = dict(zip(rows.column("node").to_pylist(), rows.column("label").to_pylist()))
-            blobs = {"nodes": nodes, "labels": np.array([labels[x] for x in nodes.tolist()], np.int64), "sizes": np.array([len(x) for x in sets], np.int64), "grams": np.concatenate(sets)}
-            yield pa.record_batch({**{k: pa.array([key[i, s]], pa.int64()) for i, k in enumerate(TILE_KEYS)}, **{k: pa.array([x.tobytes()], pa.binary()) for k, x in blobs.items()}})
+PAIR_KEYS = [*TILE_KEYS, "band2", "kind2", "slot2"]
 
 
 def _crossed(percent: int, every: bool):
-    """Links between sets of different labels, from pairs of tiles."""
+    """Links between sets of different labels, from the rows of pairs of tiles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                sides = []
-                for end in ("", "2"):
-                    nodes, labels, sizes = (np.frombuffer(batch.column(k + end)[r].as_buffer(), np.int64) for k in ("nodes", "labels", "sizes"))
-                    sides.append((nodes, labels, sizes, np.split(np.frombuffer(batch.column("grams" + end)[r].as_buffer(), np.uint64), np.cumsum(sizes)[:-1])))
-                (nodes, labels, sizes, sets), (nodes2, labels2, sizes2, sets2) = sides
-                same = batch.column("same")[r].as_py()
+        for table in runs_of(batches, PAIR_KEYS):
+            key = np.stack([table.column(k).to_numpy() for k in PAIR_KEYS])
+            starts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+            left, right = [], []
+            for s, e in zip(starts, np.append(starts[1:], table.num_rows)):
+                rows = table.slice(int(s), int(e - s))
+                behind = rows.column("behind").to_numpy(zero_copy_only=False)
+                label = dict(zip(rows.column("node").to_pylist(), rows.column("label").to_pylist()))
+                same = not behind.any()
+                (nodes, sets), (nodes2, sets2) = (_rows(rows.filter(pa.array(x)), 0, int(x.sum())) for x in (~behind, ~behind if same else behind))
+                if not len(nodes) or not len(nodes2):
+                    continue
+                (sizes, labels), (sizes2, labels2) = ((np.array([len(x) for x in y]), np.array([label[i] for i in z.tolist()])) for y, z in ((sets, nodes), (sets2, nodes2)))
                 both = overlaps(sets) if same else overlaps(sets, sets2)
                 link = (100 * both >= percent * (sizes[:, None] + sizes2[None, :] - both)) & (labels[:, None] != labels2[None, :])
                 x, y = np.nonzero(np.triu(link, 1) if same else link)
-                if len(x):
-                    a, b = (nodes[x], nodes2[y]) if every else forest(nodes[x], nodes2[y])
-                    yield pa.record_batch({"a": pa.array(a), "b": pa.array(b)})
+                a, b = (nodes[x], nodes2[y]) if every or not len(x) else forest(nodes[x], nodes2[y])
+                left.append(a)
+                right.append(b)
+            if left and sum(map(len, left)):
+                yield pa.record_batch({"a": pa.array(np.concatenate(left)), "b": pa.array(np.concatenate(right))})
 
     return run
 
@@ -368,26 +365,27 @@ def _large_blocks(large: DataFrame, percent: int, every: bool) -> DataFrame:
         labelled = large.select("cluster", "node", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     labelled = cut(labelled)
     several = labelled.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cluster")
-    # sizes of linked sets lie in one band or in neighbouring ones
+    several = labelled.join(several, "cluster").groupBy("cluster").agg(F.count("*").alias("held"))
+    # sizes of linked sets lie in one band or in neighbouring ones; a block of a few tiles
+    # isn't cut finer
     band = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("size")
-    rest = cut(labelled.join(several, "cluster").withColumn("band", band.cast("long")))
-    counts = rest.groupBy("cluster", "band", "label").agg(F.count("*").alias("n"))
+    wide = F.col("held") > TILE * FEW_TILES
+    rest = cut(labelled.join(several, "cluster").withColumn("band", F.when(wide, band).otherwise(0).cast("long")).withColumn("wide", wide))
+    counts = rest.groupBy("cluster", "band", "label").agg(F.count("*").alias("n"), F.first("wide").alias("wide"))
     # a label of its own tiles, or 0 for those that share some
-    kinds = counts.select("cluster", "band", "label", F.when(F.col("n") >= TILE // 2, F.col("label")).otherwise(0).alias("kind"))
+    kinds = counts.select("cluster", "band", "label", F.when(F.col("wide") & (F.col("n") >= TILE // 2), F.col("label")).otherwise(0).alias("kind"))
     named = cut(rest.join(kinds, ["cluster", "band", "label"]))
     tiles = cut(named.groupBy("cluster", "band", "kind").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).alias("slots")))
     placed = named.join(tiles, ["cluster", "band", "kind"]).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots"))).select(*TILE_KEYS, "node", "label")
     spread = tiles.select("cluster", "band", "kind", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"))
     ahead = spread.withColumn("band2", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     behind = spread.select("cluster", *[F.col(c).alias(f"{c}2") for c in ("band", "kind", "slot")])
-    pairs = ahead.join(behind, ["cluster", "band2"]).where("(band < band2 or kind < kind2 or (kind = kind2 and slot <= slot2)) and not (kind = kind2 and kind <> 0)")
-    blobs = cut(
-        large.select("node", "grams").join(placed, "node").repartition(tasks(spark), *TILE_KEYS).sortWithinPartitions(*TILE_KEYS)
-        .mapInArrow(_tiled, "cluster long, band long, kind long, slot long, nodes binary, labels binary, sizes binary, grams binary")
-    )
-    names = ["cluster", *[F.col(c).alias(f"{c}2") for c in ("band", "kind", "slot", "nodes", "labels", "sizes", "grams")]]
-    matched = pairs.join(blobs, TILE_KEYS).join(blobs.select(*names), ["cluster", "band2", "kind2", "slot2"]).withColumn("same", F.expr("band = band2 and kind = kind2 and slot = slot2"))
-    crossed = matched.mapInArrow(_crossed(percent, every), "a long, b long")
+    pairs = cut(ahead.join(behind, ["cluster", "band2"]).where("(band < band2 or kind < kind2 or (kind = kind2 and slot <= slot2)) and not (kind = kind2 and kind <> 0)").select(*PAIR_KEYS))
+    first_side = placed.join(pairs, TILE_KEYS).select(*PAIR_KEYS, F.lit(False).alias("behind"), "node", "label")
+    other_side = placed.join(pairs.withColumnsRenamed({k: f"{k}1" for k in TILE_KEYS[1:]}).withColumnsRenamed({f"{k}2": k for k in TILE_KEYS[1:]}), TILE_KEYS).where("band <> band1 or kind <> kind1 or slot <> slot1")
+    other_side = other_side.select("cluster", *[F.col(f"{k}1").alias(k) for k in TILE_KEYS[1:]], *[F.col(k).alias(f"{k}2") for k in TILE_KEYS[1:]], F.lit(True).alias("behind"), "node", "label")
+    sent = first_side.unionByName(other_side).join(large.select("node", "grams"), "node")
+    crossed = sent.repartition(tasks(spark), *PAIR_KEYS).sortWithinPartitions(*PAIR_KEYS).mapInArrow(_crossed(percent, every), "a long, b long")
     return crossed if first is None else first.unionByName(crossed)
 
 

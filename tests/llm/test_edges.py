@@ -259,12 +259,13 @@ def crowded(spark):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(8), dict(rows)
 
 
-@pytest.mark.parametrize("tile, long_", [(256, 64), (16, 64), (16, 8)])
-def test_jaccard_of_large_blocks(crowded, monkeypatch, tile, long_):
+@pytest.mark.parametrize("tile, long_, few", [(256, 64, 16), (16, 64, 16), (16, 8, 1)])
+def test_jaccard_of_large_blocks(crowded, monkeypatch, tile, long_, few):
     from .test_whole import components, shingles
 
     monkeypatch.setattr(jaccard, "TILE", tile)
     monkeypatch.setattr(jaccard, "LONG_COLUMN", long_)
+    monkeypatch.setattr(jaccard, "FEW_TILES", few)
     monkeypatch.setattr(jaccard, "HOT", 50)
     df, texts = crowded
     want = components({i: shingles(t) for i, t in texts.items()})
