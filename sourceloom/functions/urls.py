@@ -138,11 +138,20 @@ def service_id(host: Column) -> Column:
     return F.coalesce(F.try_element_at(known, bare), F.concat(F.lit("svc."), service_key(host)))
 
 
+def key_of_service(service: Column) -> Column:
+    """The part of a service id that claim ids carry."""
+    return F.coalesce(F.regexp_replace(service, r"^svc\.", ""), F.lit("unknown"))
+
+
+def bare_host(host: Column) -> Column:
+    return F.regexp_replace(F.lower(host), r"^www\.", "")
+
+
 def agency_id(host: Column) -> Column:
+    """The agency of the host, or of the host without www., or a generic one."""
     known = F.create_map(*[F.lit(x) for pair in P.AGENCIES.items() for x in pair])
-    low = F.lower(host)
-    generic = F.concat(F.lit("agency."), F.regexp_replace(F.regexp_replace(low, r"^www\.", ""), "[^a-z0-9]", "_"))
-    return F.coalesce(F.try_element_at(known, low), generic)
+    generic = F.concat(F.lit("agency."), F.regexp_replace(bare_host(host), "[^a-z0-9]", "_"))
+    return F.coalesce(F.try_element_at(known, F.lower(host)), F.try_element_at(known, bare_host(host)), generic)
 
 
 def auto_agency_id(host: Column) -> Column:

@@ -1,8 +1,10 @@
 """Extraction from Markdown pages: lines, headings, steps, fees, questions, document
 links and the claims made of them.
 
-A page is cut into a row for each line; what a line needs from above (heading path,
-sticky fee variant, running order) comes from windows over the lines of its page.
+A page is cut into sections at its headings and these into a row for each line. What a
+line needs from above (heading path, sticky fee variant) or from below (the lines of an
+answer) is worked out within the page's row, so cutting pages shuffles nothing; only the
+steps found are numbered by a window.
 """
 
 from __future__ import annotations
@@ -18,27 +20,53 @@ from ..functions.text import BENGALI_DIGITS, EDGE, S, matches, trim
 HEADING = rf"^(#{{1,6}}){S}+(.+)"
 
 
-def _heading_paths(lines: Column) -> Column:
-    """Path of each heading in order: a heading of level n keeps the first n-1
-    entries of the path before it."""
-    marks = F.filter(F.transform(lines, trim), lambda x: matches(x, HEADING))
-    parts = F.transform(marks, lambda x: F.named_struct(F.lit("level"), F.length(F.regexp_extract(x, HEADING, 1)), F.lit("text"), trim(F.replace(F.regexp_extract(x, HEADING, 2), F.lit("**"), F.lit("")))))
-    none = F.array().cast("array<array<string>>")
-    step = lambda paths, h: F.concat(paths, F.array(F.concat(F.slice(F.coalesce(F.try_element_at(paths, F.lit(-1)), F.array().cast("array<string>")), F.lit(1), h["level"] - 1), F.array(h["text"]))))
-    return F.aggregate(parts, none, step)
+#: What begins a question and an answer; the mark behind the word is optional.
+QUESTION = rf"^(?:(?i:Q)[.:]?{S}*|প্রশ্ন[.:]?{S}*)"
+ANSWER = rf"^(?:(?i:A)[.:]?{S}*|উত্তর[.:]?{S}*)"
+#: Lines below a question in which its answer is looked for.
+BELOW = 19
 
 
-def page_lines(pages: DataFrame, key: str = "page_id", text: str = "markdown") -> DataFrame:
-    """key, line_no (from 1), line (trimmed), is_heading, heading (text or null),
-    path (of the last heading so far)."""
-    split = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    base = pages.select(key, _heading_paths(split).alias("paths"), F.posexplode(split).alias("i", "raw"))
-    lines = base.select(key, "paths", (F.col("i") + 1).alias("line_no"), trim(F.col("raw")).alias("line"))
-    lines = lines.withColumn("is_heading", matches(F.col("line"), HEADING))
-    above = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    n = F.sum(F.col("is_heading").cast("int")).over(above)
-    path = F.coalesce(F.get("paths", n - 1), F.array().cast("array<string>"))
-    return lines.withColumn("path", path).withColumn("heading", F.when(F.col("is_heading"), F.element_at(F.concat(F.array(F.lit("")), "path"), -1))).drop("paths")
+def _asks(heading: Column) -> Column:
+    return heading.endswith("?") | heading.endswith("？")
+
+
+def _sections(heads: Column, sticky: bool) -> Column:
+    """array<struct<i,heading,path,sticky>> from the headings struct<i,level,text> in
+    order: a heading of level n keeps the first n-1 entries of the path before it."""
+    none = F.array().cast("array<struct<i:int,heading:string,path:array<string>,sticky:string>>")
+    start = F.struct(F.array().cast("array<string>").alias("path"), F.lit(None).cast("string").alias("sticky"), none.alias("out"))
+
+    def step(state, h):
+        path = F.concat(F.slice(state["path"], F.lit(1), h["level"] - 1), F.array(h["text"]))
+        variant = F.coalesce(T.fee_variant(h["text"]), state["sticky"]) if sticky else F.lit(None).cast("string")
+        return F.struct(path.alias("path"), variant.alias("sticky"), F.concat(state["out"], F.array(F.struct(h["i"].alias("i"), h["text"].alias("heading"), path.alias("path"), variant.alias("sticky")))).alias("out"))
+
+    first = F.struct(F.lit(0).alias("i"), F.lit(None).cast("string").alias("heading"), F.array().cast("array<string>").alias("path"), F.lit(None).cast("string").alias("sticky"))
+    return F.concat(F.array(first), F.aggregate(heads, start, step)["out"])
+
+
+def page_lines(pages: DataFrame, key: str = "page_id", text: str = "markdown", carry: tuple[str, ...] = (), sticky: bool = False, below: bool = False) -> DataFrame:
+    """key, columns to carry, line_no (from 1), line (trimmed), is_heading, heading (text
+    or null), path (of the last heading so far); with sticky the fee variant that
+    headings so far have set; with below the lines under one that asks something."""
+    base = pages.select(key, *carry, F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), trim).alias("all"))
+    head = lambda x, i: F.when(matches(x, HEADING), F.struct(i.alias("i"), F.length(F.regexp_extract(x, HEADING, 1)).alias("level"), trim(F.replace(F.regexp_extract(x, HEADING, 2), F.lit("**"), F.lit(""))).alias("text")))
+    cut = base.select(key, *carry, "all", _sections(F.array_compact(F.transform("all", head)), sticky).alias("sections"))
+    end = lambda k: F.coalesce(F.get(F.col("sections"), k + 1)["i"], F.size("all"))
+
+    def section(x, k):
+        def line(y, j):
+            is_heading = (j == 0) & x["heading"].isNotNull()
+            asked = F.when((is_heading & _asks(x["heading"])) | (~is_heading & matches(y, QUESTION)), F.slice("all", x["i"] + j + 2, F.lit(BELOW))) if below else F.lit(None).cast("array<string>")
+            return F.struct((x["i"] + j + 1).alias("line_no"), y.alias("line"), is_heading.alias("is_heading"), asked.alias("below"))
+
+        return F.struct(x["heading"].alias("heading"), x["path"].alias("path"), x["sticky"].alias("sticky"), F.transform(F.slice("all", x["i"] + 1, end(k) - x["i"]), line).alias("lines"))
+
+    parts = cut.select(key, *carry, F.explode(F.transform("sections", section)).alias("x"))
+    lines = parts.select(key, *carry, "x.path", "x.sticky", F.col("x.heading").alias("title"), F.explode("x.lines").alias("y"))
+    out = lines.select(key, *carry, "y.line_no", "y.line", "y.is_heading", F.when(F.col("y.is_heading"), F.col("title")).alias("heading"), "path", "sticky", "y.below")
+    return out.drop(*([] if sticky else ["sticky"]), *([] if below else ["below"]))
 
 
 def headings(lines: DataFrame, key: str = "page_id") -> DataFrame:
@@ -67,67 +95,61 @@ def step_mark(line: Column) -> Column:
     )
 
 
-def steps(lines: DataFrame, key: str = "page_id") -> DataFrame:
-    """key, step_no (1..n), title, description, text, heading_path, line_no, marker."""
+def steps(lines: DataFrame, key: str = "page_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """key, carried columns, step_no (1..n), title, description, text, heading_path, line_no, marker."""
     found = lines.where(~F.col("is_heading") & (F.length("line") > 5)).withColumn("mark", step_mark(F.col("line"))).where("mark.marker is not null").withColumn("text", T.bare_step(F.col("line"))).where(F.length("text") >= 5)
     own = F.when(F.col("mark.number") > 0, F.col("mark.number"))
     above = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     numbered = found.withColumn("order", F.coalesce(own, F.sum(F.when(own.isNull(), 1)).over(above).cast("double")))
     title = T.step_title(F.col("text"))
     return numbered.withColumn("step_no", F.row_number().over(Window.partitionBy(key).orderBy("order", "line_no"))).select(
-        key, "step_no", F.substring(title, 1, 150).alias("title"), F.when(F.length("text") > F.length(title), F.substring("text", 1, 500)).otherwise("").alias("description"), "text", F.array_join("path", " > ").alias("heading_path"), "line_no", F.col("mark.marker").alias("marker")
+        key, *carry, "step_no", F.substring(title, 1, 150).alias("title"), F.when(F.length("text") > F.length(title), F.substring("text", 1, 500)).otherwise("").alias("description"), "text", F.array_join("path", " > ").alias("heading_path"), "line_no", F.col("mark.marker").alias("marker")
     )
 
 
-def fees(lines: DataFrame, key: str = "page_id") -> DataFrame:
-    """key, pos, amount, label, variant, currency, text, heading_path, line_no."""
+def fees(lines: DataFrame, key: str = "page_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """key, carried columns, pos, amount, label, variant, currency, text, heading_path,
+    line_no; lines are page_lines with sticky."""
     first = lambda p: F.nullif(F.regexp_extract("line", p, 1), F.lit(""))
     after = first(rf"(?i)([0-9]{{1,7}}(?:,[0-9]{{3}})*){S}*(?:{P.CURRENCY})")
     sign = first(rf"৳{S}*([0-9]{{1,7}}(?:,[0-9]{{3}})*)")
     before = F.when(after.isNull(), first(rf"(?i){EDGE}(?:{P.CURRENCY}){S}*([0-9]{{1,7}}(?:,[0-9]{{3}})*)"))
     bengali_sign = first(rf"৳{S}*([{BENGALI_DIGITS}]{{1,7}}(?:,[{BENGALI_DIGITS}]{{3}})*)")
     bengali_after = first(rf"([{BENGALI_DIGITS}]{{1,7}}(?:,[{BENGALI_DIGITS}]{{3}})*){S}*টাকা")
-    above = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    sticky = F.last(T.fee_variant(F.col("heading")), ignorenulls=True).over(above)
     amounts = F.array_distinct(F.filter(F.transform(F.array_compact(F.array(after, sign, before, bengali_sign, bengali_after)), T.number), lambda a: (a > 0) & (a <= P.MAX_AMOUNT)))
-    found = lines.withColumn("sticky", sticky).where(~F.col("is_heading") & (F.col("line") != "")).select("*", F.posexplode(amounts).alias("pos", "amount"))
+    found = lines.where(~F.col("is_heading") & (F.col("line") != "")).select("*", F.posexplode(amounts).alias("pos", "amount"))
     fallback = F.coalesce(F.try_element_at("path", F.lit(-1)), F.lit("Fee"))
     return found.select(
-        key, "pos", F.col("amount").cast("long").alias("amount"), T.fee_label(F.col("line"), fallback).alias("label"), F.coalesce(T.fee_variant(F.col("line")), "sticky").alias("variant"), F.lit("BDT").alias("currency"), F.substring("line", 1, 200).alias("text"), F.array_join("path", " > ").alias("heading_path"), "line_no"
+        key, *carry, "pos", F.col("amount").cast("long").alias("amount"), T.fee_label(F.col("line"), fallback).alias("label"), F.coalesce(T.fee_variant(F.col("line")), "sticky").alias("variant"), F.lit("BDT").alias("currency"), F.substring("line", 1, 200).alias("text"), F.array_join("path", " > ").alias("heading_path"), "line_no"
     )
 
 
-#: What begins a question and an answer; the mark behind the word is optional.
-QUESTION = rf"^(?:(?i:Q)[.:]?{S}*|প্রশ্ন[.:]?{S}*)"
-ANSWER = rf"^(?:(?i:A)[.:]?{S}*|উত্তর[.:]?{S}*)"
-
-
-def faqs(pages: DataFrame, lines: DataFrame, key: str = "page_id", text: str = "markdown") -> DataFrame:
-    """key, form (heading, pair or link), question, answer, link, heading_path, line_no,
-    pos (of answers to one question)."""
-    trimmed = pages.select(key, F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), trim).alias("all"))
+def faqs(lines: DataFrame, key: str = "page_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """key, carried columns, form (heading, pair or link), question, answer, link,
+    heading_path, line_no, pos (of answers to one question); lines are page_lines with
+    below."""
 
     def gather(state, x):
         stop = state["stop"] | matches(x, rf"^#{{1,6}}{S}") | ((x == "") & (F.length(state["answer"]) > 50))
         more = F.when(x == "", state["answer"]).when(state["answer"] == "", x).otherwise(F.concat(state["answer"], F.lit(" "), x))
         return F.struct(stop.alias("stop"), F.when(stop, state["answer"]).otherwise(more).alias("answer"))
 
-    asked = lines.where(F.col("is_heading") & (F.col("heading").endswith("?") | F.col("heading").endswith("？"))).join(trimmed, key)
-    answer = F.aggregate(F.slice("all", F.col("line_no") + 1, F.lit(19)), F.struct(F.lit(False).alias("stop"), F.lit("").alias("answer")), gather)["answer"]
+    asked = lines.where(F.col("is_heading") & _asks(F.col("heading")))
+    answer = F.aggregate("below", F.struct(F.lit(False).alias("stop"), F.lit("").alias("answer")), gather)["answer"]
     parent = F.array_join(F.slice("path", F.lit(1), F.size("path") - 1), " > ")
     none = F.lit(None).cast("string")
-    by_heading = asked.withColumn("answer", answer).where(F.length("answer") > 10).select(key, F.lit("heading").alias("form"), F.col("heading").alias("question"), F.substring("answer", 1, 1000).alias("answer"), none.alias("link"), parent.alias("heading_path"), "line_no", F.lit(0).alias("pos"))
+    by_heading = asked.withColumn("answer", answer).where(F.length("answer") > 10).select(key, *carry, F.lit("heading").alias("form"), F.col("heading").alias("question"), F.substring("answer", 1, 1000).alias("answer"), none.alias("link"), parent.alias("heading_path"), "line_no", F.lit(0).alias("pos"))
 
     plain = lines.where(~F.col("is_heading"))
     questions = plain.where(matches(F.col("line"), QUESTION)).withColumn("question", trim(F.regexp_replace("line", QUESTION, ""))).where(F.length("question") > 5)
-    after = F.transform(F.filter(F.slice("all", F.col("line_no") + 1, F.lit(9)), lambda x: matches(x, ANSWER)), lambda x: trim(F.regexp_replace(x, ANSWER, "")))
-    pairs = questions.join(trimmed, key).select(key, "question", "path", "line_no", F.posexplode(after).alias("pos", "answer")).where(F.length("answer") > 5)
+    after = F.transform(F.filter(F.slice("below", 1, 9), lambda x: matches(x, ANSWER)), lambda x: trim(F.regexp_replace(x, ANSWER, "")))
+    pairs = questions.select(key, *carry, "question", "path", "line_no", F.posexplode(after).alias("pos", "answer")).where(F.length("answer") > 5)
     path = F.array_join("path", " > ")
-    by_pair = pairs.select(key, F.lit("pair").alias("form"), "question", F.substring("answer", 1, 1000).alias("answer"), none.alias("link"), path.alias("heading_path"), "line_no", "pos")
+    by_pair = pairs.select(key, *carry, F.lit("pair").alias("form"), "question", F.substring("answer", 1, 1000).alias("answer"), none.alias("link"), path.alias("heading_path"), "line_no", "pos")
 
     bullet = trim(F.regexp_replace("line", rf"^[-•*]{S}*", ""))
     link = r"\[([^\]]+\?[^\]]*)\]\(([^)]+)\)"
-    by_link = plain.where(matches(F.col("line"), "^[-•*]")).withColumn("bullet", bullet).where(matches(F.col("bullet"), link)).select(key, F.lit("link").alias("form"), F.regexp_extract("bullet", link, 1).alias("question"), none.alias("answer"), F.regexp_extract("bullet", link, 2).alias("link"), path.alias("heading_path"), "line_no", F.lit(0).alias("pos"))
+    by_link = plain.where(matches(F.col("line"), "^[-•*]")).withColumn("bullet", bullet).where(matches(F.col("bullet"), link)).select(key, *carry, F.lit("link").alias("form"), F.regexp_extract("bullet", link, 1).alias("question"), none.alias("answer"), F.regexp_extract("bullet", link, 2).alias("link"), path.alias("heading_path"), "line_no", F.lit(0).alias("pos"))
     return by_heading.unionByName(by_pair).unionByName(by_link)
 
 
@@ -155,17 +177,19 @@ def claims(pages: DataFrame, key: str = "page_id", url: str = "url", markdown: s
     """All claims of the pages, with deterministic ids: claim_id, claim_type,
     service_id, source_page_id, url, text, locator, quoted_text, language, tags,
     status, key, rank (type) and pos in their order."""
-    lines = page_lines(pages, key, markdown)
-    host = U.domain(F.col("url"))
+    pages = pages.withColumn("__url", F.col(url))
+    own = ("__url",)
+    lines = page_lines(pages, key, markdown, own, sticky=True, below=True)
+    host = U.domain(F.col("__url"))
     spot = F.concat(F.col("heading_path"), F.lit(":"), F.col("line_no").cast("string"))
     word = lambda c: F.when(T.has_bengali(c), "bengali").otherwise("english")
     nothing = F.lit("")
-    about = pages.select(key, F.col(url).alias("url"))
+    about = pages.select(key, "__url")
 
     def made(rows, kind, rank, text, locator, print_, quoted, tags, pos):
-        return rows.select(key, F.lit(kind).alias("claim_type"), F.lit(rank).alias("rank"), pos.cast("long").alias("pos"), text.alias("text"), locator.alias("locator"), print_.alias("print"), F.substring(quoted, 1, 300).alias("quoted_text"), tags.alias("tags"))
+        return rows.select(key, "__url", F.lit(kind).alias("claim_type"), F.lit(rank).alias("rank"), pos.cast("long").alias("pos"), text.alias("text"), locator.alias("locator"), print_.alias("print"), F.substring(quoted, 1, 300).alias("quoted_text"), tags.alias("tags"))
 
-    fee, step, faq, link = fees(lines, key), steps(lines, key), faqs(pages, lines, key, markdown), document_links(pages, key, url, markdown, html)
+    fee, step, faq, link = fees(lines, key, own), steps(lines, key, own), faqs(lines, key, own), document_links(pages, key, url, markdown, html).join(about, key)
     c = F.col
     all_ = (
         made(fee, "fee", 0, c("label"), spot, T.joined_fingerprint(c("label"), c("amount"), c("currency"), c("variant")), c("text"), F.array_compact(F.array(F.lit("fee"), F.lit("auto_extracted"), c("variant"))), c("line_no") * 10 + c("pos"))
@@ -173,7 +197,7 @@ def claims(pages: DataFrame, key: str = "page_id", url: str = "url", markdown: s
         .unionByName(made(link, "document_requirement", 2, c("text"), nothing, T.joined_fingerprint(c("url"), c("text")), c("text"), F.array(F.lit("document"), F.lit("download"), F.lit("auto_extracted")), c("pos")))
         .unionByName(made(faq, "faq", 3, c("question"), spot, T.joined_fingerprint(c("question"), c("answer")), c("question"), F.array(F.lit("faq"), F.lit("auto_extracted"), word(c("question"))), c("line_no") * 100 + c("pos")))
     )
-    joined = all_.join(about, key)
-    return joined.select(
-        T.claim_id(c("claim_type"), U.service_key(host), c("url"), c("locator"), c("print")).alias("claim_id"), "claim_type", U.service_id(host).alias("service_id"), T.source_id(c("url")).alias("source_page_id"), "url", "text", "locator", "quoted_text", T.language(c("quoted_text")).alias("language"), "tags", F.lit("unverified").alias("status"), key, "rank", "pos"
+    service = U.service_id(host)
+    return all_.select(
+        T.claim_id(c("claim_type"), U.key_of_service(service), c("__url"), c("locator"), c("print")).alias("claim_id"), "claim_type", service.alias("service_id"), T.source_id(c("__url")).alias("source_page_id"), c("__url").alias("url"), "text", "locator", "quoted_text", T.language(c("quoted_text")).alias("language"), "tags", F.lit("unverified").alias("status"), key, "rank", "pos"
     )

@@ -89,11 +89,16 @@ def seed_links(markdown: Column) -> Column:
 
 
 def merge_seeds(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Seeds of old, and those of new whose domain no seed of old has as its domain or
-    within a start URL; the first of a domain counts (columns: domain, start_urls, pos)."""
+    """Seeds of old, and those of new whose domain no seed of old has as its domain or,
+    whole or as the end of a host, within a start URL; the first of a domain counts (columns: domain, start_urls, pos)."""
     firsts = new.groupBy("domain").agg(F.min_by(F.struct(*[c for c in new.columns if c != "domain"]), "pos").alias("x")).select("domain", "x.*")
-    known = old.select(F.col("domain").alias("known"), "start_urls")
-    fresh = firsts.alias("n").join(known.alias("k"), (F.col("n.domain") == F.col("k.known")) | F.exists("k.start_urls", lambda u: u.contains(F.col("n.domain"))), "left_anti")
+    # every run of host characters in a start URL, and each of its ends, in place of a
+    # comparison of all domains with all URLs
+    hosts = F.flatten(F.transform("start_urls", lambda u: F.regexp_extract_all(u, F.lit(r"[^/?#@:]+"), F.lit(0))))
+    labels = lambda h: F.split(h, r"\.", -1)
+    tails = F.flatten(F.transform(F.filter(hosts, lambda h: h.contains(".")), lambda h: F.transform(F.sequence(F.lit(1), F.size(labels(h))), lambda i: F.array_join(F.slice(labels(h), i, F.size(labels(h))), "."))))
+    known = old.select(F.explode(F.array_distinct(F.concat(F.array("domain"), F.coalesce(tails, F.array().cast("array<string>"))))).alias("domain")).distinct()
+    fresh = firsts.join(known, "domain", "left_anti")
     return old.unionByName(fresh.select(*old.columns))
 
 

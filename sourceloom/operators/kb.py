@@ -50,14 +50,15 @@ def upsert_pages(old: DataFrame, new: DataFrame, now: Column, keep_history: bool
 
 def ensure_agencies(agencies: DataFrame, hosts: DataFrame) -> DataFrame:
     """agency_id, name, domain_allowlist: known agencies get the hosts that map to
-    them; a host outside of the map makes an agency of its own."""
+    them; a host outside of the map makes an agency of its own, named by the host
+    without www. and allowing the host with and without it."""
     known = F.create_map(*[F.lit(x) for pair in U.P.AGENCY_NAMES.items() for x in pair])
-    made = hosts.select(F.lower("host").alias("host")).where("host is not null").distinct().withColumn("agency_id", U.agency_id(F.col("host")))
-    new = made.groupBy("agency_id").agg(F.array_sort(F.collect_set("host")).alias("hosts"), F.min("host").alias("first")).withColumn("mapped", F.try_element_at(known, F.col("agency_id")))
+    made = hosts.select(F.lower("host").alias("host")).where("host is not null").distinct().withColumns({"agency_id": U.agency_id(F.col("host")), "bare": U.bare_host(F.col("host"))})
+    new = made.groupBy("agency_id").agg(F.array_sort(F.collect_set("host")).alias("hosts"), F.array_sort(F.collect_set("bare")).alias("bares"), F.min("bare").alias("first")).withColumn("mapped", F.try_element_at(known, F.col("agency_id")))
     joined = agencies.join(new, "agency_id", "full_outer")
     return joined.select(
         "agency_id", F.coalesce("name", "mapped", "first").alias("name"),
-        F.when(F.col("domain_allowlist").isNull(), F.col("hosts")).when(F.col("mapped").isNotNull(), F.array_union("domain_allowlist", "hosts")).otherwise(F.col("domain_allowlist")).alias("domain_allowlist"),
+        F.when(F.col("domain_allowlist").isNull(), F.array_sort(F.array_union("hosts", "bares"))).when(F.col("mapped").isNotNull(), F.array_union("domain_allowlist", "hosts")).otherwise(F.col("domain_allowlist")).alias("domain_allowlist"),
     )
 
 
@@ -135,13 +136,46 @@ def audit_rows(events: DataFrame) -> DataFrame:
     return events.select(T.event_id(F.col("event_type"), F.col("timestamp"), {k: F.col(k) for k in kinds}).alias("event_id"), "event_type", "timestamp", F.struct(*[F.array_sort(k).alias(k) for k in kinds]).alias("affected_entities"), "actor", "description")
 
 
-def invalidation_event(claims: DataFrame, changed: DataFrame, now: Column, actor: Column) -> DataFrame:
-    """One audit row for all claims that invalidate() turned stale; none without any."""
+def invalidation_event(claims: DataFrame, changed: DataFrame, now: Column, actor: Column, per_row: int = 10_000) -> DataFrame:
+    """Audit rows for all claims that invalidate() turned stale, about per_row claims
+    each, dealt by their hash; none without any."""
     none = F.array().cast("array<string>")
-    ids = claims.where("invalidated_by is not null").agg(F.array_sort(F.collect_set("claim_id")).alias("claims"), F.array_sort(F.collect_set("invalidated_by")).alias("source_pages"), F.count("*").alias("n")).where("n > 0")
+    hit = claims.where("invalidated_by is not null").select("claim_id", "invalidated_by")
+    rows = max(1, -(-hit.count() // per_row))
+    part = F.pmod(F.xxhash64("claim_id"), F.lit(rows)).alias("part")
+    ids = hit.groupBy(part).agg(F.array_sort(F.collect_set("claim_id")).alias("claims"), F.array_sort(F.collect_set("invalidated_by")).alias("source_pages"), F.count("*").alias("n"))
     return audit_rows(ids.select(F.lit("claim_invalidation").alias("event_type"), now.alias("timestamp"), none.alias("agencies"), "claims", none.alias("documents"), none.alias("services"), "source_pages", actor.alias("actor"), F.concat(F.col("n"), F.lit(" claims invalidated")).alias("description")))
 
 
+def source_change_events(changed: DataFrame, now: Column, actor: Column) -> DataFrame:
+    """An audit row for each changed source (source_page_id, old_hash, new_hash)."""
+    return _event(changed, "source_change", now, actor, F.concat(F.lit("Source page content changed: "), F.col("source_page_id")), source_pages=F.array("source_page_id"))
+
+
+def verification_events(claims: DataFrame, now: Column, actor: Column) -> DataFrame:
+    """An audit row for each claim (claim_id, status) whose status was set."""
+    return _event(claims, "verification", now, actor, F.concat(F.lit("Claim "), F.col("claim_id"), F.lit(" marked as "), F.col("status")), claims=F.array("claim_id"))
+
+
+def migration_events(versions: DataFrame, now: Column, actor: Column) -> DataFrame:
+    """An audit row for each migration (old_version, new_version)."""
+    return _event(versions, "migration", now, actor, F.concat(F.lit("Migrated from "), F.col("old_version"), F.lit(" to "), F.col("new_version")))
+
+
+def _event(rows: DataFrame, kind: str, now: Column, actor: Column, description: Column, **affected: Column) -> DataFrame:
+    none = F.array().cast("array<string>")
+    entities = [affected.get(k, none).alias(k) for k in ("agencies", "claims", "documents", "services", "source_pages")]
+    return audit_rows(rows.select(F.lit(kind).alias("event_type"), now.alias("timestamp"), *entities, actor.alias("actor"), description.alias("description")))
+
+
+def process_source_changes(old: DataFrame, new: DataFrame, claims: DataFrame, citations: DataFrame, now: Column, actor: Column, only: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """From pages before and after a crawl: claims with those that cite changed pages
+    stale, and the audit rows of the changes and of the claims they turned stale."""
+    changed = changed_sources(old, new, only)
+    after = invalidate(claims, citations, changed, now)
+    return after, source_change_events(changed, now, actor).unionByName(invalidation_event(after, changed, now, actor))
+
+
 def by_type(log: DataFrame, kind: str) -> DataFrame:
     return log.where(F.col("event_type") == kind)
 

@@ -67,9 +67,10 @@ def index_entries(guides: DataFrame) -> DataFrame:
 
 def totals(guides: DataFrame) -> DataFrame:
     """One row over guides (step_count, citation_count, source_domains)."""
-    sums = guides.agg(F.count("*").alias("guides"), F.sum("step_count").alias("steps"), F.sum("citation_count").alias("citations"))
-    domains = guides.select(F.explode("source_domains").alias("d")).agg(F.count_distinct("d").alias("domains"))
-    return sums.join(domains)
+    each = guides.select("step_count", "citation_count", F.explode_outer(F.concat(F.array(F.lit(None).cast("string")), F.coalesce("source_domains", F.array().cast("array<string>")))).alias("domain"))
+    # the row without a domain stands for the guide
+    one = lambda c: F.sum(F.when(F.col("domain").isNull(), c))
+    return each.agg(F.coalesce(one(F.lit(1)), F.lit(0)).cast("long").alias("guides"), one(F.col("step_count")).alias("steps"), one(F.col("citation_count")).alias("citations"), F.count_distinct("domain").alias("domains"))
 
 
 def published(guides: DataFrame, claims: DataFrame, citations: DataFrame, pages: DataFrame, agencies: DataFrame) -> DataFrame:

@@ -84,11 +84,11 @@ s AS (SELECT page_id, url, html, {HOST} AS host, CAST({DEPTH} AS INT) AS depth,
 r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY score DESC, length(url), page_id, url) AS rank FROM s WHERE host IS NOT NULL AND score > {P.EXCLUDED_SCORE})
 SELECT page_id, url, host, depth, score, CAST(rank AS INT) AS rank, 'source.' || sha1(url) AS source_page_id, sha256(html) AS content_hash,
 CASE WHEN regexp_matches(html, '[A-Za-z]') AND regexp_matches(html, '[\\x{{0980}}-\\x{{09FF}}]') THEN 'en,bn' WHEN regexp_matches(html, '[\\x{{0980}}-\\x{{09FF}}]') THEN 'bn' ELSE 'en' END AS languages
-FROM r WHERE rank <= 5""")
+FROM r WHERE rank <= 300""")
 def frontier_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best five URLs of each host, with source id, content hash and languages."""
+    """Best 300 URLs of each host, with source id, content hash and languages."""
     pages = rich_pages(spark, sf_dir)
-    best = frontier.ranked(pages.select("page_id", "url", F.struct("page_id", "url").alias("pos")), top=5)
+    best = frontier.ranked(pages.select("page_id", "url", F.struct("page_id", "url").alias("pos")))
     joined = best.join(pages, ["page_id", "url"])
     return joined.select("page_id", "url", "host", "depth", "score", "rank", T.source_id(F.col("url")).alias("source_page_id"), F.sha2("html", 256).alias("content_hash"), F.array_join(T.languages(F.col("html")), ",").alias("languages"))
 
@@ -198,7 +198,7 @@ fees AS (SELECT page_id, url, pos, amount, CASE WHEN length({_LABEL}) < 3 THEN c
 @query(f"WITH {PAGES_SQL}, {FEES_SQL} SELECT page_id, pos, amount, label, variant, 'BDT' AS currency, text, heading_path, line_no FROM fees")
 def page_fees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fees of all pages."""
-    found = extract.fees(extract.page_lines(pages_of_orders(spark, sf_dir)))
+    found = extract.fees(extract.page_lines(pages_of_orders(spark, sf_dir), sticky=True))
     return found.withColumns({"pos": F.col("pos").cast("long"), "line_no": F.col("line_no").cast("long")})
 
 
@@ -219,7 +219,7 @@ UNION ALL SELECT page_id, 'link', regexp_extract(line, '\[([^\]]+\?[^\]]*)\]\(([
 def page_faqs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions and answers of all pages."""
     pages = pages_of_orders(spark, sf_dir)
-    found = extract.faqs(pages, extract.page_lines(pages))
+    found = extract.faqs(extract.page_lines(pages, below=True))
     return found.withColumns({"pos": F.col("pos").cast("long"), "line_no": F.col("line_no").cast("long")})
 
 
@@ -234,7 +234,7 @@ def page_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.document_links(pages_of_orders(spark, sf_dir)).drop("pos")
 
 
-_KEY = "CASE regexp_extract(purl, '://([^/]+)', 1) WHEN 'www.epassport.gov.bd' THEN 'epassport' WHEN 'nidw.gov.bd' THEN 'nidw' WHEN 'shop.example.org' THEN 'shop_example_org' ELSE 'sub_unknown' END"
+_KEY = "CASE regexp_extract(purl, '://([^/]+)', 1) WHEN 'www.epassport.gov.bd' THEN 'epassport' WHEN 'nidw.gov.bd' THEN 'nid' WHEN 'shop.example.org' THEN 'shop_example_org' ELSE 'sub_unknown' END"
 _SVC = "CASE regexp_extract(purl, '://([^/]+)', 1) WHEN 'www.epassport.gov.bd' THEN 'svc.epassport' WHEN 'nidw.gov.bd' THEN 'svc.nid' WHEN 'shop.example.org' THEN 'svc.shop_example_org' ELSE 'svc.sub_unknown' END"
 CLAIMS_SQL = rf"""cl AS (SELECT page_id, url AS purl, 'fee' AS t, label AS text, heading_path || ':' || line_no AS loc, {sql_print('label', 'amount', q('BDT'), 'variant')} AS fp FROM fees
 UNION ALL SELECT page_id, url, 'step', title, heading_path || ':' || line_no, {sql_print('title', 'description')} FROM steps
@@ -290,13 +290,15 @@ def page_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kb.upsert_pages(old, new, F.lit("2026-01-02")).select("source_page_id", "content_hash", "previous_hash", F.size("change_log").alias("n_log"), "last_crawled_at")
 
 
-@query(f"""WITH h AS (SELECT DISTINCT regexp_extract({SITE}, '://([^/]+)', 1) AS host FROM supplier UNION SELECT 'passport.gov.bd' UNION SELECT 'dip.gov.bd'),
-m AS (SELECT host, CASE WHEN host LIKE '%.gov.bd' THEN 'agency.dip' ELSE 'agency.' || regexp_replace(host, '[^a-z0-9]', '_', 'g') END AS agency_id FROM h)
-SELECT agency_id, CASE WHEN agency_id = 'agency.dip' THEN 'Old name' ELSE min(host) END AS name, CASE WHEN agency_id = 'agency.dip' THEN 'visa.gov.bd,' ELSE '' END || string_agg(host, ',' ORDER BY host) AS domains FROM m GROUP BY agency_id""")
+@query(f"""WITH h AS (SELECT DISTINCT regexp_extract({SITE}, '://([^/]+)', 1) AS host FROM supplier UNION SELECT unnest(['passport.gov.bd', 'www.passport.gov.bd', 'dip.gov.bd', 'www.foo.gov.bd', 'www.bar.org', 'bar.org'])),
+b AS (SELECT host, regexp_replace(host, '^www\\.', '') AS bare FROM h),
+m AS (SELECT host, bare, CASE WHEN bare IN ('passport.gov.bd', 'dip.gov.bd') THEN 'agency.dip' ELSE 'agency.' || regexp_replace(bare, '[^a-z0-9]', '_', 'g') END AS agency_id FROM b),
+d AS (SELECT agency_id, host FROM m UNION SELECT agency_id, bare FROM m WHERE agency_id <> 'agency.dip')
+SELECT agency_id, CASE WHEN agency_id = 'agency.dip' THEN 'Old name' ELSE min(regexp_replace(host, '^www\\.', '')) END AS name, CASE WHEN agency_id = 'agency.dip' THEN 'visa.gov.bd,' ELSE '' END || string_agg(host, ',' ORDER BY host) AS domains FROM d GROUP BY agency_id""")
 def agency_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agencies of all hosts: mapped ones grow, others are made."""
     old = spark.createDataFrame([("agency.dip", "Old name", ["visa.gov.bd"])], "agency_id string, name string, domain_allowlist array<string>")
-    hosts = sites(spark, sf_dir).select(U.domain(F.col("canonical_url")).alias("host")).union(spark.createDataFrame([("passport.gov.bd",), ("dip.gov.bd",)], "host string"))
+    hosts = sites(spark, sf_dir).select(U.domain(F.col("canonical_url")).alias("host")).union(spark.createDataFrame([(x,) for x in ("passport.gov.bd", "www.passport.gov.bd", "dip.gov.bd", "www.foo.gov.bd", "www.bar.org", "bar.org")], "host string"))
     return kb.ensure_agencies(old, hosts).select("agency_id", "name", F.array_join("domain_allowlist", ",").alias("domains"))
 
 
@@ -339,10 +341,10 @@ _EVENT = "CASE event_type WHEN 'click' THEN 'source_change' WHEN 'view' THEN 've
 
 
 @query(f"""SELECT 'evt.' || sha1({_EVENT} || '|' || event_id || '|' || '{{"claims":["c' || least(event_id, user_id) || '","c' || greatest(event_id, user_id) || '"],"source_pages":["s' || user_id || '"]}}') AS event_id, {_EVENT} AS event_type,
-{_EVENT} IN ('source_change', 'claim_invalidation', 'verification', 'migration', 'guide_update') AS known, user_id % 10 = 3 AS has_entity FROM (SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id_, user_id, event_type FROM events) WHERE event_id <> user_id_""".replace("least(event_id, user_id)", "least(event_id, user_id_)").replace("greatest(event_id, user_id)", "greatest(event_id, user_id_)"))
+{_EVENT} IN ('source_change', 'claim_invalidation', 'verification', 'migration', 'guide_update') AS known, user_id % 10 = 3 AS has_entity FROM (SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id_, user_id, event_type FROM events)""".replace("least(event_id, user_id)", "least(event_id, user_id_)").replace("greatest(event_id, user_id)", "greatest(event_id, user_id_)"))
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows of all events, with deterministic ids, and two of their queries."""
-    e = table(spark, sf_dir, "events").where("cast(event_id as string) <> cast(user_id as string)")
+    e = table(spark, sf_dir, "events")
     none = F.array().cast("array<string>")
     rows = e.select(F.expr(_EVENT).alias("event_type"), F.col("event_id").cast("string").alias("timestamp"), none.alias("agencies"), F.expr("array('c' || event_id, 'c' || user_id)").alias("claims"), none.alias("documents"), none.alias("services"), F.expr("array('s' || user_id)").alias("source_pages"), F.lit("system").alias("actor"), F.lit("").alias("description"))
     log = kb.audit_rows(rows)

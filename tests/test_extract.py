@@ -47,13 +47,13 @@ def test_steps_in_order(spark):
 
 
 def test_fees_and_sticky_variant(spark):
-    found = extract.fees(extract.page_lines(pages(spark, PAGE))).orderBy("line_no", "pos").collect()
+    found = extract.fees(extract.page_lines(pages(spark, PAGE), sticky=True)).orderBy("line_no", "pos").collect()
     assert [(r.amount, r.variant) for r in found] == [(3450, "express"), (5000, "express"), (100, "express")]
 
 
 def test_questions(spark):
     p = pages(spark, PAGE)
-    found = extract.faqs(p, extract.page_lines(p)).orderBy("line_no", "pos").collect()
+    found = extract.faqs(extract.page_lines(p, below=True)).orderBy("line_no", "pos").collect()
     assert [(r.form, r.question) for r in found] == [("pair", "What is the fee?"), ("pair", "What is the fee?"), ("heading", "How long does it take?")]
     assert found[1].answer == "nother answer begins with a." and "Not part" not in found[2].answer
 
