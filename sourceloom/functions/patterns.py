@@ -101,3 +101,24 @@ AGENCIES = {
     "bdpost.gov.bd": "agency.bpo", "landadministration.gov.bd": "agency.mol", "land.gov.bd": "agency.mol", "teletalk.com.bd": "agency.tt",
     "bdris.gov.bd": "agency.bdris", "police.gov.bd": "agency.bp",
 }
+
+
+# Pages that have options of their own (host without www. and path).
+OVERRIDES = {"epassport.gov.bd/instructions/passport-fees": {"only_main_content": False, "formats": ["markdown", "rawHtml"], "wait_ms": 5000, "bdt_for_tk": True}}
+
+# Filter lists of the older crawler, over lower-cased URLs.
+ARCHIVED_KEYWORDS = (
+    "passport", "epassport", "e-passport", "immigration", "nid", "national id", "voter", "election", "birth", "death", "marriage", "registration", "certificate",
+    "land", "property", "mutation", "khatian", "tax", "etax", "e-tax", "nbr", "income tax", "vat", "tin", "brta", "driving", "license", "vehicle", "motor",
+    "police", "clearance", "verification", "apply", "application", "service", "e-service", "online", "fee", "requirement", "document", "process", "step", "how to",
+    "eligibility", "faq", "instruction",
+)
+ARCHIVED_EXCLUDE = (
+    r"/news\b", r"/press\b", "/press-release", "/pressrelease", r"/media\b", "/event", "/notice", "/notices", "/circular", "/notification", "/gazette", "/tender", "/procurement",
+    "/career", "/job", "/vacancy", "/recruitment", "/gallery", "/photo", "/video", "/image", "/blog", "/article", "/archive", "/latest", "/recent", "/update",
+    r"\.pdf$", r"\.doc$", r"\.docx$", r"\.xls$", r"\.xlsx$", r"\.zip$", r"\.rar$", r"\.exe$", r"\.apk$", "/(bn|en)/news", "/(bn|en)/notice", "/(bn|en)/notices",
+)
+ARCHIVED_INCLUDE = (
+    "apply", "application", "instruction", "how-to", "eligibility", "requirement", "document", "fee", "charge", "cost", "price", "process", "step", "procedure",
+    "service", "e-service", "online", "faq", "help", "guide", "form", "download",
+)

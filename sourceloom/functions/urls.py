@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
@@ -45,6 +46,14 @@ def override_key(url: Column) -> Column:
     return F.concat(F.regexp_replace(domain(url), r"^www\.", ""), F.when(p == "/", p).otherwise(F.regexp_replace(p, r"/+\z", "")))
 
 
+def with_override(rows: DataFrame, url: str = "url") -> DataFrame:
+    """rows with override: the options of pages that have some of their own, else null.
+    The list is a handful of fixed values, so it is a literal map, not a join."""
+    kind = "map<string,struct<only_main_content:boolean,formats:array<string>,wait_ms:int,bdt_for_tk:boolean>>"
+    known = F.from_json(F.lit(json.dumps(P.OVERRIDES)), kind)
+    return rows.withColumn("override", F.try_element_at(known, F.coalesce(override_key(F.col(url)), F.lit(""))))
+
+
 def resolve(base: Column, ref: Column) -> Column:
     """An absolute URL for a link on a page; the link itself where the base has no host."""
     origin = F.concat(scheme(base), F.lit("://"), F.regexp_extract(base, r"(?is)^[a-z][a-z0-9+.-]*://([^/?#]*)", 1))

@@ -38,6 +38,28 @@ def of_host(url: Column, seed_domain: Column) -> Column:
     return F.coalesce((U.domain(url) == seed_domain) | (U.domain(url) == F.concat(F.lit("www."), seed_domain)), F.lit(False))
 
 
+def known_tld(url: Column) -> Column:
+    return F.coalesce(url.contains(".gov.bd") | url.contains(".com.bd"), F.lit(False))
+
+
+def archived_excluded(url: Column) -> Column:
+    """The older crawler's exclude list."""
+    return matches(F.lower(url), "|".join(f"(?:{U.one_end(p)})" for p in U.P.ARCHIVED_EXCLUDE))
+
+
+def archived_service_page(url: Column, content: Column | None = None) -> Column:
+    """The older crawler's include list and keywords, in URL or content."""
+    low = F.lower(F.concat_ws(" ", url, content if content is not None else F.lit("")))
+    words = "|".join(k.replace(".", r"\.") for k in U.P.ARCHIVED_KEYWORDS)
+    return matches(low, "|".join((*U.P.ARCHIVED_INCLUDE, words)))
+
+
+def seeds_of(seeds: DataFrame, domains: list[str]) -> DataFrame:
+    """Seeds of the asked domains, either containing the other; all if none is asked."""
+    asked = F.array(*map(F.lit, domains))
+    return seeds.where(F.exists(asked, lambda d: F.contains("domain", d) | F.contains(d, F.col("domain")))) if domains else seeds
+
+
 def frontier(urls: DataFrame, seeds: DataFrame, max_depth: int = 4, top: int = 300) -> DataFrame:
     """URLs of (seed_domain, url, pos) that pass the host, robots and depth filters of
     their seed (domain, allow, disallow), ranked per seed."""
@@ -85,7 +107,7 @@ def seed_links(markdown: Column) -> Column:
     area = F.when(section != "", section).otherwise(markdown)
     raw = F.regexp_extract_all(area, F.lit(r"(?:\[(?:!\[[^\]]*\]\([^)]*\))?[^\]\[]*\])\(https?://[^)\s]+\)"), F.lit(0))
     parts = F.transform(raw, lambda x: F.struct(trim(F.regexp_replace(F.regexp_extract(x, r"(?s)^\[(.*)\]\(", 1), r"!\[[^\]]*\]\([^)]*\)", "")).alias("label"), F.regexp_extract(x, r"\((https?://[^)\s]+)\)\z", 1).alias("url")))
-    return F.filter(parts, lambda p: p["url"].contains(".gov.bd") | p["url"].contains(".com.bd"))
+    return F.filter(parts, lambda p: known_tld(p["url"]))
 
 
 def merge_seeds(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -168,12 +168,12 @@ def _event(rows: DataFrame, kind: str, now: Column, actor: Column, description:
     return audit_rows(rows.select(F.lit(kind).alias("event_type"), now.alias("timestamp"), *entities, actor.alias("actor"), description.alias("description")))
 
 
-def process_source_changes(old: DataFrame, new: DataFrame, claims: DataFrame, citations: DataFrame, now: Column, actor: Column, only: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def process_source_changes(old: DataFrame, new: DataFrame, claims: DataFrame, citations: DataFrame, now: Column, actor: Column, only: DataFrame | None = None, per_row: int = 10_000) -> tuple[DataFrame, DataFrame]:
     """From pages before and after a crawl: claims with those that cite changed pages
     stale, and the audit rows of the changes and of the claims they turned stale."""
     changed = changed_sources(old, new, only)
     after = invalidate(claims, citations, changed, now)
-    return after, source_change_events(changed, now, actor).unionByName(invalidation_event(after, changed, now, actor))
+    return after, source_change_events(changed, now, actor).unionByName(invalidation_event(after, changed, now, actor, per_row))
 
 
 def by_type(log: DataFrame, kind: str) -> DataFrame:

@@ -555,3 +555,6 @@ def legacy_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processing times and eligibility lines of all pages."""
     lines = extract.page_lines(pages_of_orders(spark, sf_dir)).withColumn("line", F.expr("line || CASE line_no % 3 WHEN 0 THEN ' takes 7 working days' WHEN 1 THEN ' must be valid' ELSE '' END"))
     return migrate.legacy_lines(lines).select("page_id", F.col("line_no").cast("long").alias("line_no"), "claim_type", "amount", "unit", "n")
+
+
+from . import rules  # noqa: E402,F401  registers its queries
