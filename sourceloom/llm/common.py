@@ -147,6 +147,21 @@ def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return ids[label[out]], ids[out]
 
 
+#: Most edges (16 bytes each) of a graph that one task labels by itself.
+ONE_TASK = 1 << 20
+
+
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each node of the pairs with the smallest node of its component."""
+    ends = [(np.empty(0, np.int64), np.empty(0, np.int64))] + [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+    u, v = (np.concatenate(x) for x in zip(*ends))
+    nodes = np.unique(np.concatenate([u, v]))
+    label, node = forest(u, v) if len(u) else (u, v)
+    component = nodes.copy()
+    component[np.searchsorted(nodes, node)] = label
+    yield pa.record_batch({"node": pa.array(nodes), "component": pa.array(component)})
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Components of an undirected graph.
 
@@ -155,12 +170,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Loops, repeated edges and edges with a null end have no effect beyond naming
     their nodes; no edges give no rows.
 
-    Labels move along edges and then to the label's own label, so paths halve in
-    each round; every aggregation combines before its shuffle, every join reads
-    materialised sides that skew handling can split, and nothing but a count
-    reaches the driver.
+    Of at most ONE_TASK edges one task makes the labels. Of more, labels move along
+    edges and then to the label's own label, so paths halve in each round; every
+    aggregation combines before its shuffle, every join reads materialised sides that
+    skew handling can split, and nothing but a count reaches the driver.
     """
-    pairs = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null")
+    pairs = cut(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null"))
+    if pairs.count() <= ONE_TASK:
+        return cut(pairs.coalesce(1).mapInArrow(_labelled, "node long, component long"))
     both = cut(pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = cut(both.groupBy(F.col("u").alias("node")).agg(F.min(F.least("u", "v")).alias("component")))
     while True:

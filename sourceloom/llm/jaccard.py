@@ -145,11 +145,11 @@ def _prefixes(n: int, percent: int, frequent: np.ndarray, rank: np.ndarray, part
     return run
 
 
-def _block_edges(percent: int):
+def _block_edges(percent: int, split: np.ndarray):
     """From postings sorted by bucket: partial overlap counts of pairs whose sizes can
     link, for columns of up to LONG_COLUMN rows; star edges (count null) over the rows
-    of a longer column, with the column itself as the hub, so that the parts of a split
-    one meet."""
+    of a longer column whose sizes can still link. Of a split column the hubs of all
+    parts have an edge to the column itself, where they meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs_of(batches, ["bucket"]):
@@ -169,8 +169,19 @@ def _block_edges(percent: int):
         long = length > LONG_COLUMN
         out = []
         if long.any():
-            out.append((np.stack([gram[long], node[long]]), None))
+            g, v, z = gram[long], node[long], size[long]
+            start = np.ones(len(g), bool)
+            start[1:] = (g[1:] != g[:-1]) | (100 * z[:-1] < percent * z[1:])
+            at = np.flatnonzero(start)
+            hubs = np.minimum.reduceat(v, at)
+            hub = np.repeat(hubs, np.diff(np.append(at, len(v))))
+            meet = np.isin(g[at], split)
+            out.append((np.unique(np.stack([np.append(hub[hub != v], g[at][meet]), np.append(v[hub != v], hubs[meet])]), axis=1), None))
+        # a part of a split column may be short, and its rows are still to meet those of others
         short = (length > 1) & ~long
+        lone = ~long & np.isin(gram, split)
+        if lone.any():
+            out.append((np.stack([gram[lone], node[lone]]), None))
         g, v, z = gram[short], node[short], size[short]
         left, right = [], []
         for shift in range(1, int(length[short].max()) if short.any() else 1):
@@ -418,7 +429,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = max(tasks(spark), total * (100 - percent) // 100 // BUCKET)
     postings = docs.where("doc_id is not null").mapInArrow(_prefixes(n, percent, frequent[order], rank, parts, buckets), "bucket long, gram binary, node binary, size binary")
     columns = postings.repartitionById(min(buckets, tasks(spark)), F.expr(f"cast(bucket % {min(buckets, tasks(spark))} as int)")).sortWithinPartitions("bucket")
-    partial = columns.mapInArrow(_block_edges(percent), "a long, b long, size_a long, size_b long, count long")
+    partial = columns.mapInArrow(_block_edges(percent, frequent[order][parts > 1].view(np.int64)), "a long, b long, size_a long, size_b long, count long")
     # counts over all columns; what a prefix has not shared, the rest of the sets could
     counted = partial.groupBy("a", "b").agg(F.sum("count").alias("count"), F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b"), F.max(F.col("count").isNull()).alias("star"))
     least = F.expr(f"({percent} * (size_a + size_b) + {99 + percent}) div {100 + percent}")

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from sourceloom.llm import bpe, jaccard, lines, packing, pii, quality, quotes, toxicity, urls, vectors
+from sourceloom.llm import bpe, common, jaccard, lines, packing, pii, quality, quotes, toxicity, urls, vectors
 from sourceloom.llm.common import connected_components
 
 LONG = ("word " * 30000 + "end\n") * 2
@@ -29,7 +29,9 @@ def by_id(df):
     return {r.doc_id: r for r in df.collect()}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_components(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "ONE_TASK", most)
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (5, 5), (9, 8), (8, 7), (None, 4)] + [(100 + i, 101 + i) for i in range(40)], "a long, b long")
     got = {r.node: r.component for r in connected_components(edges).collect()}
     assert {got[i] for i in (1, 2, 3)} == {1} and got[5] == 5 and {got[i] for i in (7, 8, 9)} == {7} and {got[100 + i] for i in range(41)} == {100}
