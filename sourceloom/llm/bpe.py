@@ -1,6 +1,6 @@
 """Byte-level BPE through a table of distinct words.
 
-Texts are split into words. Each slice of about 4 MB of text keeps the numbers of its
+Texts are split into words. Each slice of about 16 MB of text keeps the numbers of its
 words in their order and sends its distinct words to the buckets of a table, by hash. A
 bucket encodes each distinct word of the corpus that falls to it once, whichever slices
 ask, and answers each slice with the ids of its words; there ids are joined back by
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import cut, runs_of, slices, string_hash, tasks
 
-#: Buckets of the table for each task of a shuffle, and words that are encoded at once.
-BUCKETS, AT_ONCE = 8, 1 << 16
+#: Buckets of the table for each task of a shuffle, words that are encoded at once, and
+#: bytes of text of a slice.
+BUCKETS, AT_ONCE, SLICE = 2, 1 << 16, 16 << 20
 #: The split of byte-level BPE, and how it writes bytes as characters.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: From here on, character classes can depend on the library's Unicode version.
@@ -105,14 +106,25 @@ def _coded(own: Codec, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa
     return np.array(bounds), coded.indices.to_numpy(), coded.dictionary
 
 
+def _shut(plain: bytes) -> bytes:
+    """Compressed, behind its length."""
+    return len(plain).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(plain, asbytes=True)
+
+
+def _opened(blob: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+
+
 def _squeezed(values: np.ndarray) -> bytes:
-    """Numbers from 0 in few bytes: one each below 255, three below 65,790, else eleven."""
+    """Numbers from 0, compressed, of one byte each below 255, three below 65,790, else
+    eleven."""
     low, mid = np.minimum(values, 255).astype(np.uint8), values[values >= 255] - 255
     far = mid[mid >= 65535] - 65535
-    return np.array([len(low), len(mid)], np.int64).tobytes() + low.tobytes() + np.minimum(mid, 65535).astype(np.uint16).tobytes() + far.astype(np.int64).tobytes()
+    return _shut(np.array([len(low), len(mid)], np.int64).tobytes() + low.tobytes() + np.minimum(mid, 65535).astype(np.uint16).tobytes() + far.astype(np.int64).tobytes())
 
 
 def _widened(blob: bytes) -> np.ndarray:
+    blob = _opened(blob)
     n, m = np.frombuffer(blob, np.int64, 2)
     out = np.frombuffer(blob, np.uint8, n, 16).astype(np.int64)
     mid = np.frombuffer(blob, np.uint16, m, 16 + n).astype(np.int64)
@@ -130,7 +142,7 @@ def _split(spec, buckets: int):
         own = codec(spec.value)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 bounds, codes, distinct = _coded(own, part)
                 order = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
                 rank = np.empty(len(order), np.int64)
@@ -148,7 +160,7 @@ def _split(spec, buckets: int):
                 stops = np.append(starts[1:], len(by)).astype(np.int64)
                 yield pa.record_batch({
                     "slice": pa.array(np.full(len(starts), number)), "bucket": pa.array(at[starts].astype(np.int32)), "docs": pa.nulls(len(starts), pa.list_(pa.int64())),
-                    "a": pa.array([_squeezed(np.diff(ends[s : e + 1])) for s, e in zip(starts, stops)], pa.binary()), "b": pa.array([bytes(flat[ends[s] : ends[e]]) for s, e in zip(starts, stops)], pa.binary()), "c": pa.nulls(len(starts), pa.binary()),
+                    "a": pa.array([_squeezed(np.diff(ends[s : e + 1])) for s, e in zip(starts, stops)], pa.binary()), "b": pa.array([_shut(bytes(flat[ends[s] : ends[e]])) for s, e in zip(starts, stops)], pa.binary()), "c": pa.nulls(len(starts), pa.binary()),
                 })
                 number += 1
 
@@ -172,7 +184,7 @@ def _encoded(spec):
                 ids = [known[w] for w in words]
                 yield pa.record_batch({
                     "slice": pa.array([number], pa.int64()), "bucket": pa.array([bucket], pa.int32()), "docs": pa.nulls(1, pa.list_(pa.int64())),
-                    "a": pa.array([_squeezed(np.array(list(map(len, ids)), np.int64))], pa.binary()), "b": pa.array([np.concatenate(ids).astype(own.id_type).tobytes()], pa.binary()), "c": pa.nulls(1, pa.binary()),
+                    "a": pa.array([_squeezed(np.array(list(map(len, ids)), np.int64))], pa.binary()), "b": pa.array([_shut(np.concatenate(ids).astype(own.id_type).tobytes())], pa.binary()), "c": pa.nulls(1, pa.binary()),
                 })
 
         for batch in batches:
@@ -183,6 +195,7 @@ def _encoded(spec):
                     if at != bucket:
                         known, bucket = {}, at
                 ends = np.concatenate(([0], np.cumsum(_widened(lengths)))).tolist()
+                flat = _opened(flat)
                 held.append((number, [flat[s:e] for s, e in zip(ends[:-1], ends[1:])]))
                 waiting += len(ends)
         yield from answered()
@@ -204,7 +217,7 @@ def _whole(spec, digest: bool):
                 per_doc, codes, place = _widened(a[0]), _widened(b[0]), _widened(rows.column("c")[0].as_py())
                 # ids of the distinct words, bucket by bucket, and where each number's are
                 lengths = np.concatenate([_widened(x) for x in a[1:]]) if len(a) > 1 else np.empty(0, np.int64)
-                listed = np.frombuffer(b"".join(b[1:]), own.id_type)
+                listed = np.frombuffer(b"".join(map(_opened, b[1:])), own.id_type)
                 by = np.argsort(place, kind="stable")
                 first, held = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
                 first[by], held[by] = np.cumsum(lengths) - lengths, lengths

@@ -57,13 +57,13 @@ def text_hash(text: F.Column) -> F.Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that a slice holds about SLICE_BYTES of the text column (a
-    longer text is a slice of its own)."""
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that a slice holds about most bytes of the text column (a longer
+    text is a slice of its own)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends, start, held = np.cumsum(sizes), 0, 0
     for i, end in enumerate(ends):
-        if end - held > SLICE_BYTES and i > start:
+        if end - held > most and i > start:
             yield batch.slice(start, i - start)
             start, held = i, ends[i - 1]
     if start < batch.num_rows:
