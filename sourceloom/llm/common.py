@@ -3,6 +3,7 @@ word splitting over Arrow batches and connected components."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -25,13 +26,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ensure_shared_dir(spark: SparkSession) -> None:
     """Use the folder that the cluster names in spark.checkpoint.dir; where the
-    setting is absent (tests, one machine) take an own one."""
+    setting is absent take an own one, on one machine only: on a cluster executors would
+    not see it."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sourceloom-"))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared folder, so that later steps neither repeat the
     work nor depend on a live executor.
