@@ -34,6 +34,8 @@ FREQUENT = 1 << 17
 COUNTED = 4 << 20
 #: Postings of a bucket of columns, about; a column counted more often than HOT is split.
 BUCKET, HOT = 1 << 20, 1 << 16
+#: Postings that are paired at once.
+CHUNK = 1 << 15
 #: A column with more rows than this joins its rows by a star instead of pair counts.
 LONG_COLUMN = 64
 #: Sets of a tile of the product, and n-grams of one that is sent to others.
@@ -164,6 +166,15 @@ def _block_edges(percent: int, split: np.ndarray):
         fresh = np.ones(len(gram), bool)
         fresh[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
         gram, node, size = gram[fresh], node[fresh], size[fresh].astype(np.int64)
+        # whole columns of about CHUNK postings at once: pairs take many times their memory
+        columns = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.empty(0, np.int64)
+        ends = np.append(columns[1:], len(gram)).astype(np.int64)
+        low = 0
+        for high in ends[np.append(np.diff(ends // CHUNK) > 0, True)] if len(ends) else []:
+            yield from pairs_of(gram[low:high], node[low:high], size[low:high])
+            low = high
+
+    def pairs_of(gram: np.ndarray, node: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.empty(0, np.int64)
         length = np.repeat(np.diff(np.append(first, len(gram))), np.diff(np.append(first, len(gram))))
         long = length > LONG_COLUMN
