@@ -88,9 +88,9 @@ FROM r WHERE rank <= 300""")
 def frontier_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best 300 URLs of each host, with source id, content hash and languages."""
     pages = rich_pages(spark, sf_dir)
-    best = frontier.ranked(pages.select("page_id", "url", F.struct("page_id", "url").alias("pos")))
-    joined = best.join(pages, ["page_id", "url"])
-    return joined.select("page_id", "url", "host", "depth", "score", "rank", T.source_id(F.col("url")).alias("source_page_id"), F.sha2("html", 256).alias("content_hash"), F.array_join(T.languages(F.col("html")), ",").alias("languages"))
+    # the limit by rank comes before the exchange, so pages can ride along
+    best = frontier.ranked(pages.withColumn("pos", F.struct("page_id", "url")))
+    return best.select("page_id", "url", "host", "depth", "score", "rank", T.source_id(F.col("url")).alias("source_page_id"), F.sha2("html", 256).alias("content_hash"), F.array_join(T.languages(F.col("html")), ",").alias("languages"))
 
 
 @query(f"""WITH {RICH_SQL} SELECT page_id, url, {HOST} AS host, CAST({DEPTH} AS INT) AS depth,
