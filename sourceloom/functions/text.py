@@ -19,8 +19,12 @@ def matches(text: Column, pattern: str) -> Column:
     return F.coalesce(F.regexp_like(text, F.lit(pattern)), F.lit(False))
 
 
+#: The same white space as a list of characters.
+BLANKS = "\t\n\x0b\x0c\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def trim(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{S}++|(?<!{S}){S}++\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def squeeze(text: Column) -> Column:
