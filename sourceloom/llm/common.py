@@ -80,9 +80,9 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         yield batch.slice(start)
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """A-Z lower-cased words of each text: (offsets of each text's words, code of
-    each word, distinct words). Null is the empty text."""
+def flat_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """A-Z lower-cased words: (offsets of each text's words, all words in order). Null is
+    the empty text."""
     # a copy: string kernels go wrong on arrays that start inside of their buffers
     whole = texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string())
     lowered = pc.ascii_lower(pc.fill_null(whole, ""))
@@ -90,8 +90,50 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     flat, bounds = parts.values, parts.offsets.to_numpy()
     full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
     before = np.concatenate(([0], np.cumsum(full)))
-    coded = flat.filter(pa.array(full)).dictionary_encode()
-    return before[bounds], coded.indices.to_numpy(), coded.dictionary
+    return before[bounds], flat.filter(pa.array(full))
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """flat_words with (offsets, code of each word, distinct words)."""
+    bounds, flat = flat_words(texts)
+    coded = flat.dictionary_encode()
+    return bounds, coded.indices.to_numpy(), coded.dictionary
+
+
+_BASE = 0xD1342543DE82EF95  # odd, so that its powers have inverses
+_BYTES = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64)
+
+
+_held: list[np.ndarray] = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """_BASE and its inverse to the powers 0..n-1, kept for slices of the usual size."""
+    if n <= len(_held[0]):
+        return [x[:n] for x in _held]
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        powers = np.full(max(n, SLICE_BYTES + (1 << 16)), base, np.uint64)
+        powers[0] = 1
+        out.append(np.multiply.accumulate(powers))
+    if n <= SLICE_BYTES + (1 << 16):
+        _held[:] = out
+    return [x[:n] for x in out]
+
+
+def flat_hashes(strings: pa.Array) -> np.ndarray:
+    """64-bit hash of each string of a large_string array, from running sums over all
+    their bytes: no string is touched by itself."""
+    ends = np.frombuffer(strings.buffers()[1], np.int64, len(strings) + 1, 8 * strings.offset)
+    low, n = int(ends[0]) if len(strings) else 0, int(ends[-1] - ends[0]) if len(strings) else 0
+    at = ends - low
+    powers, inverses = _powers(n + 1)
+    data = np.frombuffer(strings.buffers()[2], np.uint8, n, low) if n else np.empty(0, np.uint8)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTES[data] * powers[:n], out=sums[1:])
+    # the sum over a string, as if it were the first
+    own = (sums[at[1:]] - sums[at[:-1]]) * inverses[at[:-1]]
+    return mix(own ^ (np.diff(at).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def string_hash(values: pa.Array) -> np.ndarray:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, forest, mix, most_frequent, runs_of, slices, string_hash, tasks, text_hash, words
+from .common import connected_components, cut, flat_hashes, flat_words, forest, mix, most_frequent, runs_of, slices, tasks, text_hash
 
 #: Most n-grams that are known by name as frequent (the broadcast's bound: 16 bytes each).
 FREQUENT = 1 << 17
@@ -53,8 +53,8 @@ FILTER_BITS = 1 << 23
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its n-word shingles; of a
     text with fewer words, of its whole sequence; of one without words, none."""
-    bounds, codes, distinct = words(texts)
-    each = string_hash(distinct)[codes] if len(codes) else np.empty(0, np.uint64)
+    bounds, flat = flat_words(texts)
+    each = flat_hashes(flat)
     k = np.uint64(0x9E3779B97F4A7C15)
     rolled = np.zeros(max(0, len(each) - n + 1), np.uint64)
     for j in range(n):

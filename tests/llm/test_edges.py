@@ -6,6 +6,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -238,6 +239,16 @@ def test_jaccard(docs):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_flat_hashes_tell_strings_apart():
+    rng = random.Random(3)
+    strings = ["", "a", "b", "aa", "ab", "ba", "é", "日本", "a" * 300, "a" * 301] + ["".join(rng.choice("abcdef") for _ in range(rng.randrange(1, 12))) for _ in range(20000)]
+    whole = common.flat_hashes(pa.array(strings, pa.large_string()))
+    assert len(set(zip(strings, whole.tolist()))) == len(set(strings)) == len(set(whole.tolist()))
+    # whatever stands before, and in parts of a larger buffer
+    assert (common.flat_hashes(pa.array(strings[::-1], pa.large_string()))[::-1] == whole).all()
+    assert (common.flat_hashes(pa.array(strings, pa.large_string()).slice(7, 500)) == whole[7:507]).all() and len(common.flat_hashes(pa.array([], pa.large_string()))) == 0
+
+
 def test_overlaps_are_counts():
     rng = np.random.default_rng(6)
     for size in (2, 9, 40):
