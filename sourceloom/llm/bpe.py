@@ -108,7 +108,7 @@ def _coded(own: Codec, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa
 
 def _shut(plain: bytes) -> bytes:
     """Compressed, behind its length."""
-    return len(plain).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(plain, asbytes=True)
+    return len(plain).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(plain, asbytes=True)
 
 
 def _opened(blob: bytes) -> bytes:
@@ -120,14 +120,16 @@ def _squeezed(values: np.ndarray) -> bytes:
     eleven."""
     low, mid = np.minimum(values, 255).astype(np.uint8), values[values >= 255] - 255
     far = mid[mid >= 65535] - 65535
-    return _shut(np.array([len(low), len(mid)], np.int64).tobytes() + low.tobytes() + np.minimum(mid, 65535).astype(np.uint16).tobytes() + far.astype(np.int64).tobytes())
+    near = np.minimum(mid, 65535).astype(np.uint16)
+    # like bytes side by side, as they compress best
+    return _shut(np.array([len(low), len(mid)], np.int64).tobytes() + low.tobytes() + near.astype(np.uint8).tobytes() + (near >> 8).astype(np.uint8).tobytes() + far.astype(np.int64).tobytes())
 
 
 def _widened(blob: bytes) -> np.ndarray:
     blob = _opened(blob)
     n, m = np.frombuffer(blob, np.int64, 2)
     out = np.frombuffer(blob, np.uint8, n, 16).astype(np.int64)
-    mid = np.frombuffer(blob, np.uint16, m, 16 + n).astype(np.int64)
+    mid = np.frombuffer(blob, np.uint8, m, 16 + n).astype(np.int64) | np.frombuffer(blob, np.uint8, m, 16 + n + m).astype(np.int64) << 8
     mid[mid == 65535] += np.frombuffer(blob, np.int64, -1, 16 + n + 2 * m)
     out[out == 255] += mid
     return out
