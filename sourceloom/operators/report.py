@@ -57,3 +57,34 @@ def fee_coverage(pages: DataFrame) -> DataFrame:
 def silent_domains(pages: DataFrame) -> DataFrame:
     """Domains whose pages made no claims."""
     return pages.groupBy("domain").agg(F.count("*").alias("pages"), F.sum("n_claims").alias("claims")).where("claims = 0")
+
+
+def run_summary(domains: DataFrame, pages: DataFrame, documents: DataFrame) -> DataFrame:
+    """One row over a run: domains (domain, status: crawled, failed or skipped), pages
+    (outcome: kept, excluded or unchanged; counts of claims, steps, fees, faqs, links) and
+    documents (fetched_via)."""
+    totals = (
+        domains.select(F.lit("domains_attempted").alias("what"), F.lit(1).alias("n")).unionByName(domains.select(F.concat(F.lit("domains_"), "status").alias("what"), F.lit(1).alias("n")))
+        .unionByName(pages.select(F.lit("pages_total").alias("what"), F.lit(1).alias("n"))).unionByName(pages.select(F.concat(F.lit("pages_"), "outcome").alias("what"), F.lit(1).alias("n")))
+        .unionByName(documents.select(F.lit("docs_downloaded").alias("what"), F.lit(1).alias("n"))).unionByName(documents.select(F.concat(F.lit("documents_fetched_via_"), "fetched_via").alias("what"), F.lit(1).alias("n")))
+    )
+    for c in ("claims", "steps", "fees", "faqs", "links"):
+        totals = totals.unionByName(pages.select(F.lit(f"{c}_extracted").alias("what"), F.col(c).cast("int").alias("n")))
+    return totals.groupBy("what").agg(F.sum("n").alias("n"))
+
+
+def reasons(domains: DataFrame, status: str) -> DataFrame:
+    """Why domains ended so: (reason, n)."""
+    return domains.where(F.col("status") == status).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def save_report(summary: DataFrame, errors: DataFrame, folder: str, day: str, run_id: str, started_at: str, completed_at: str, status: str = "completed") -> str:
+    """Writes one JSON line with the run's times, its summary and its first errors under
+    runs of the day, and returns the path. Both parts are bounded: the counters are
+    named here, the errors limited."""
+    totals = summary.agg(F.map_from_entries(F.collect_list(F.struct("what", "n"))).alias("summary"))
+    first = first_errors(errors).agg(F.array_sort(F.collect_list(F.struct("pos", "message"))).alias("errors"))
+    path = f"{folder}/{day}/{run_id}"
+    row = totals.select(F.lit(run_id).alias("run_id"), F.lit(started_at).alias("started_at"), F.lit(completed_at).alias("completed_at"), F.lit(status).alias("status"), "summary", F.lit(1).alias("one"))
+    row.join(first.withColumn("one", F.lit(1)), "one").drop("one").write.mode("errorifexists").json(path)
+    return path

@@ -36,12 +36,16 @@ def load_kb(spark: SparkSession, *paths: str) -> dict[str, DataFrame]:
     return tables | {"kb_meta": whole.select("$schema_version", "data_version", "last_updated_at", "updated_by")}
 
 
-def save_kb(tables: dict[str, DataFrame], folder: str, version: int) -> str:
+def save_kb(tables: dict[str, DataFrame], folder: str, version: int | None = None) -> str:
     """Each table as Parquet under a folder of its own version, which is returned; a
-    version is never overwritten."""
+    version is never overwritten. Without a version, that of kb_meta and one more."""
+    if version is None:
+        told = tables["kb_meta"].agg(F.max("data_version")).first()[0] if "kb_meta" in tables else None
+        version = (told or 0) + 1
     target = f"{folder}/v{version}"
     for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{target}/{name}")
+        out = df.withColumn("data_version", F.lit(version)) if name == "kb_meta" else df
+        out.write.mode("errorifexists").parquet(f"{target}/{name}")
     return target
 
 
@@ -49,19 +53,50 @@ def claim_citations(claims: DataFrame) -> DataFrame:
     return claims.select("claim_id", F.posexplode("citations").alias("pos", "c")).select("claim_id", "pos", "c.*")
 
 
+SEEDS = "seeds array<struct<label:string,domain:string,start_urls:array<string>,source_page_url:string>>"
+DOMAIN_STATE = "struct<lastCrawled:string,pagesCrawled:int,robotsRules:struct<disallow:array<string>,allow:array<string>,sitemaps:array<string>>,sitemapUrls:array<string>,discoveredUrls:array<string>,processedUrls:array<string>>"
+
+
+def _json_or_empty(spark: SparkSession, schema: str, path: str, lines: bool = False) -> DataFrame:
+    """The file as one row, or as one for each line; no row where it is missing. What
+    doesn't parse is a row of nulls."""
+    try:
+        return spark.read.schema(schema).option("multiLine", not lines).json(path)
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def load_seeds(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema("seeds array<struct<label:string,domain:string,start_urls:array<string>,source_page_url:string>>").option("multiLine", True).json(path)
-    return rows.select(F.posexplode("seeds").alias("pos", "x")).select("x.*", "pos")
+    """Seeds with pos; none where the file is missing or doesn't parse."""
+    return _json_or_empty(spark, SEEDS, path).select(F.posexplode("seeds").alias("pos", "x")).select("x.*", "pos")
 
 
-def load_state(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """domain_state, page_hash and document_hash of a crawl state file."""
-    one = "struct<lastCrawled:string,pagesCrawled:int,robotsRules:struct<disallow:array<string>,allow:array<string>,sitemaps:array<string>>,sitemapUrls:array<string>,discoveredUrls:array<string>,processedUrls:array<string>>"
-    state = spark.read.schema(f"domainStates map<string,{one}>, pageHashes map<string,string>, documentHashes map<string,string>").option("multiLine", True).json(path)
+def load_state(spark: SparkSession, path: str, lines: bool = False) -> dict[str, DataFrame]:
+    """domain_state, page_hash and document_hash of a crawl state file, or with lines of
+    the folder that save_state wrote; empty where it is missing or doesn't parse."""
+    state = _json_or_empty(spark, f"domainStates map<string,{DOMAIN_STATE}>, pageHashes map<string,string>, documentHashes map<string,string>", path, lines)
     named = lambda c, key, value: state.select(F.explode(c).alias(key, value))
     return {"domain_state": named("domainStates", "domain", "x").select("domain", "x.*"), "page_hash": named("pageHashes", "source_page_id", "content_hash"), "document_hash": named("documentHashes", "url", "content_hash")}
 
 
+def save_state(state: dict[str, DataFrame], path: str, now: Column) -> None:
+    """The tables of load_state as JSON lines that load_state reads: one entry a line, so
+    that no task holds all of them."""
+    none = F.lit(None)
+    kinds = {"domainStates": f"map<string,{DOMAIN_STATE}>", "pageHashes": "map<string,string>", "documentHashes": "map<string,string>"}
+    keys = {"domainStates": ("domain_state", "domain"), "pageHashes": ("page_hash", "source_page_id"), "documentHashes": ("document_hash", "url")}
+    lines = None
+    for kind, (table, key) in keys.items():
+        rows = state[table]
+        value = F.struct(*[c for c in rows.columns if c != key]) if kind == "domainStates" else F.col("content_hash")
+        entry = F.create_map(F.col(key), value)
+        line = rows.select(F.to_json(F.struct(*[(entry if k == kind else none.cast(t)).alias(k) for k, t in kinds.items()], now.alias("lastUpdated"))).alias("value"))
+        lines = line if lines is None else lines.unionByName(line)
+    lines.write.mode("errorifexists").text(path)
+
+
 def load_index(spark: SparkSession, path: str) -> DataFrame:
     """(key, claim_id) pairs of an index file {key: [claim_id, ...]}."""
     text = spark.read.text(path, wholetext=True)
@@ -91,6 +126,14 @@ def scraped_links(raw: Column) -> Column:
     return F.transform(lists, lambda x: F.coalesce(F.when(F.startswith(x, F.lit("{")), F.get_json_object(x, "$.url")), x))
 
 
-def export_guides(guides: DataFrame, generated_at: Column) -> DataFrame:
-    """One JSON text for each guide."""
-    return guides.select("guide_id", F.to_json(F.struct("*")).alias("json"), generated_at.alias("generated_at"))
+def generated_at(given: str | None, kb_meta: DataFrame) -> Column:
+    """The time that exports carry: a given one (a build's), else that of the knowledge
+    base, else now."""
+    told = kb_meta.agg(F.max("last_updated_at")).first()[0]
+    return F.lit(given or told) if given or told else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def export_guides(guides: DataFrame, at: Column, version: int = 1, schema_version: str = "3.0.0") -> DataFrame:
+    """guide_id, json and the header's columns for each guide: the file's header stands
+    on each row, so that a file of any number of guides is written in parallel."""
+    return guides.select("guide_id", F.to_json(F.struct("*")).alias("json"), F.lit(schema_version).alias("schema_version"), at.alias("generated_at"), F.lit(version).alias("source_kb_version"))
