@@ -74,18 +74,18 @@ def frontier(urls: DataFrame, seeds: DataFrame, max_depth: int = 4, top: int = 3
 
 def parse_robots(files: DataFrame, agent: str = "*", key: str = "host", text: str = "robots") -> DataFrame:
     """allow, disallow and sitemaps of each file. The last User-agent line above a
-    rule decides whether it applies; Sitemap lines always do."""
-    lines = files.select(key, F.posexplode(F.split(text, "\n")).alias("n", "line")).withColumn("line", trim(F.col("line")))
-    field = F.lower(trim(F.regexp_extract("line", "^([^:]*):", 1)))
-    value = trim(F.regexp_extract("line", "^[^:]*:(.*)", 1))
-    parts = lines.select(key, "n", field.alias("field"), value.alias("value")).where(~F.startswith("field", F.lit("#")))
-    above = Window.partitionBy(key).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    named = parts.withColumn("agent", F.last(F.when(F.col("field") == "user-agent", F.lower("value")), ignorenulls=True).over(above))
-    applies = F.col("agent").isin("*", agent.lower()) & (F.col("value") != "")
-    taken = lambda test: F.transform(F.array_sort(F.collect_list(F.when(test, F.struct("n", "value")))), lambda x: x["value"])
-    return named.groupBy(key).agg(
-        taken(applies & (F.col("field") == "allow")).alias("allow"), taken(applies & (F.col("field") == "disallow")).alias("disallow"), taken((F.col("field") == "sitemap") & (F.col("value") != "")).alias("sitemaps")
-    )
+    rule decides whether it applies; Sitemap lines always do. A row for each row that has
+    a text, worked out within it."""
+    line = lambda x: F.struct(F.lower(trim(F.regexp_extract(x, "^([^:]*):", 1))).alias("field"), trim(F.regexp_extract(x, "^[^:]*:(.*)", 1)).alias("value"))
+    every = F.filter(F.transform(F.split(text, "\n"), lambda x: line(trim(x))), lambda x: ~F.startswith(x["field"], F.lit("#")))
+    parts = files.where(F.col(text).isNotNull()).select(key, every.alias("parts"))
+    agents = F.array_compact(F.transform("parts", lambda x, i: F.when(x["field"] == "user-agent", F.struct(i.alias("i"), F.lower(x["value"]).alias("agent")))))
+    cut = parts.select(key, "parts", agents.alias("agents"))
+    end = lambda k: F.coalesce(F.get(F.col("agents"), k + 1)["i"], F.size("parts"))
+    own = F.flatten(F.transform("agents", lambda a, k: F.when(a["agent"].isin("*", agent.lower()), F.slice("parts", a["i"] + 1, end(k) - a["i"])).otherwise(F.slice("parts", 1, 0))))
+    ruled = cut.select(key, "parts", own.alias("own"))
+    values = lambda xs, field: F.transform(F.filter(xs, lambda x: (x["field"] == field) & (x["value"] != "")), lambda x: x["value"])
+    return ruled.select(key, values("own", "allow").alias("allow"), values("own", "disallow").alias("disallow"), values("parts", "sitemap").alias("sitemaps"))
 
 
 def parse_sitemap(xml: Column) -> Column:
