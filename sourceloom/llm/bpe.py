@@ -1,6 +1,6 @@
 """Byte-level BPE through a table of distinct words.
 
-Texts are split into words. Each slice of about 16 MB of text keeps the numbers of its
+Texts are split into words. Each slice of up to 64 MB of text keeps the numbers of its
 words in their order and sends its distinct words to the buckets of a table, by hash. A
 bucket encodes each distinct word of the corpus that falls to it once, whichever slices
 ask, and answers each slice with the ids of its words; there ids are joined back by
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from .common import cut, runs_of, slices, string_hash, tasks
 
-#: Buckets of the table for each task of a shuffle, words that are encoded at once, and
-#: bytes of text of a slice.
-BUCKETS, AT_ONCE, SLICE = 2, 1 << 16, 16 << 20
+#: Buckets of the table for each task of a shuffle, words that are encoded at once, most
+#: bytes of text of a slice (a batch of rows is one, if it holds no more), and words that
+#: are joined with their ids at once.
+BUCKETS, AT_ONCE, SLICE, JOINED = 2, 1 << 16, 64 << 20, 1 << 20
 #: The split of byte-level BPE, and how it writes bytes as characters.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: From here on, character classes can depend on the library's Unicode version.
@@ -115,6 +116,17 @@ def _opened(blob: bytes) -> bytes:
     return pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
 
 
+def _coded_whole(own: Codec, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """_coded, a few MB of text at a time, so that few words exist one by one."""
+    bounds, chunks = [np.zeros(1, np.int64)], []
+    for some in slices(part, "text"):
+        at, codes, distinct = _coded(own, some)
+        bounds.append(at[1:] + bounds[-1][-1])
+        chunks.append(pa.DictionaryArray.from_arrays(pa.array(codes, pa.int32()), distinct))
+    one = pa.chunked_array(chunks).unify_dictionaries()
+    return np.concatenate(bounds), np.concatenate([c.indices.to_numpy() for c in one.chunks]), one.chunk(0).dictionary
+
+
 def _squeezed(values: np.ndarray) -> bytes:
     """Numbers from 0, compressed, of one byte each below 255, three below 65,790, else
     eleven."""
@@ -145,7 +157,7 @@ def _split(spec, buckets: int):
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                bounds, codes, distinct = _coded(own, part)
+                bounds, codes, distinct = _coded_whole(own, part)
                 order = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
                 rank = np.empty(len(order), np.int64)
                 rank[order] = np.arange(len(order))
@@ -223,19 +235,29 @@ def _whole(spec, digest: bool):
                 by = np.argsort(place, kind="stable")
                 first, held = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
                 first[by], held[by] = np.cumsum(lengths) - lengths, lengths
-                # joined back by position
-                many = held[codes]
-                ends = np.cumsum(many)
-                ids = listed[np.repeat(first[codes] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)]
-                bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(per_doc)))]
-                columns = {"doc_id": rows.column("docs").combine_chunks()[0].values, "n_tokens": pa.array(np.diff(bounds))}
-                # the id-to-piece join
-                decoded = [x.decode("utf-8", "replace") for x in own.joined(own.piece_table, ids, bounds, b"")]
-                if digest:
-                    sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string())
-                    yield pa.record_batch(columns | {"ids_sha256": sha(own.joined(own.decimals, ids, bounds, b",")), "decoded_sha256": sha(x.encode() for x in decoded)})
-                else:
-                    yield pa.record_batch(columns | {"ids": pa.array([ids[s:e].astype(np.int32) for s, e in zip(bounds[:-1], bounds[1:])], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())})
+                words_to = np.concatenate(([0], np.cumsum(per_doc)))
+                docs = rows.column("docs").combine_chunks()[0].values
+                low = 0
+                while low < len(per_doc):
+                    # documents of about JOINED words
+                    high = max(low + 1, int(np.searchsorted(words_to, words_to[low] + JOINED, side="right")) - 1)
+                    here = codes[words_to[low] : words_to[high]]
+                    # joined back by position
+                    many = held[here]
+                    ends = np.cumsum(many)
+                    ids = listed[np.repeat(first[here] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)]
+                    bounds = np.concatenate(([0], ends))[words_to[low : high + 1] - words_to[low]]
+                    yield batch_of(own, docs.slice(low, high - low), ids, bounds)
+                    low = high
+
+    def batch_of(own: Codec, docs: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
+        columns = {"doc_id": docs, "n_tokens": pa.array(np.diff(bounds))}
+        # the id-to-piece join
+        decoded = [x.decode("utf-8", "replace") for x in own.joined(own.piece_table, ids, bounds, b"")]
+        if digest:
+            sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string())
+            return pa.record_batch(columns | {"ids_sha256": sha(own.joined(own.decimals, ids, bounds, b",")), "decoded_sha256": sha(x.encode() for x in decoded)})
+        return pa.record_batch(columns | {"ids": pa.array([ids[s:e].astype(np.int32) for s, e in zip(bounds[:-1], bounds[1:])], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())})
 
     return run
 

@@ -112,6 +112,7 @@ def test_bpe_encodes_each_word_once(spark, monkeypatch):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     monkeypatch.setattr(bpe, "BUCKETS", 3)
+    monkeypatch.setattr(bpe, "SLICE", 20_000)
     rows = [(i % 50, f"shared words and own{i} é😀 " * (1 + i % 9)) for i in range(400)] + [(60, "long text " * 200_000), (61, None), (61, None)]
     calls = spark.sparkContext.accumulator(0)
     real = bpe._encoded
