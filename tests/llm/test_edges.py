@@ -565,3 +565,42 @@ def test_pii_goes_on_while_patterns_are_new(spark):
     occurring = spark.createDataFrame([(i, s, [p]) for p, i, s in rows], "instance string, seed int, patterns array<string>")
     two, whole = (pii.bootstrap(occurring, min_score=0.4, **n)[1].count() for n in ({"rounds": 2}, {}))
     assert (two, whole) == (452, 456)
+
+
+def test_jaccard_columns_of_common_words_come_late():
+    """Texts of word runs, as unlike as texts of one vocabulary are, spread over tasks that meet no n-gram twice:
+    with the words' counts hardly any share one of their first columns."""
+    rng = np.random.default_rng(7)
+    pick = lambda k: rng.choice(3000, k, p=(p := 1 / np.arange(1, 3001)) / p.sum())
+    texts = [" ".join(f"w{w}" for w in np.repeat(pick(8), rng.integers(8, 16))) for _ in range(1500)]
+    parts = [pa.record_batch({"doc_id": pa.array([i], pa.int64()), "text": pa.array([t])}) for i, t in enumerate(texts)]
+    described = [pa.Table.from_batches(jaccard._described(5, False)(iter([p]))) for p in parts]
+    words = [pa.record_batch([t.column("words").drop_null().combine_chunks()], ["words"]) for t in described]
+    cells = pa.Table.from_batches(jaccard._unpacked(iter(words))).group_by("key").aggregate([("count", "sum")]).rename_columns(["key", "count"])
+
+    class Cells:
+        toArrow = staticmethod(lambda: cells)
+
+    class Held:
+        def __init__(self, share):
+            self.value = share.tobytes()
+
+    def longest(share):
+        none = np.empty(0, np.uint64)
+        rows = pa.Table.from_batches(jaccard._prefixes(5, 80, none, np.empty(0, np.float32), none, Held(share), 4)(iter(parts)))
+        grams = np.frombuffer(b"".join(rows.column("gram").to_pylist()), np.int64)
+        return np.bincount(np.unique(grams, return_inverse=True)[1]).max()
+
+    assert longest(np.zeros(jaccard.WORD_CELLS, np.float32)) > 3 * longest(jaccard._shares(Cells, 5))
+
+
+def test_release_deletes_shuffles_that_nothing_needs(spark):
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    first = spark._jsc.sc().newShuffleId() + 1
+    rows = common.cut(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count())
+    assert tracker.containsShuffle(first)
+    common.release(spark)
+    deadline = time.time() + 5
+    while tracker.containsShuffle(first) and time.time() < deadline:
+        time.sleep(0.1)
+    assert not tracker.containsShuffle(first) and rows.count() == 7
