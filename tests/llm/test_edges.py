@@ -507,6 +507,25 @@ def test_texts_of_one_id_are_kept_apart(spark):
     assert kept == {(1, copied), (2, alone), (None, copied)}
 
 
+def test_near_duplicates_go_without_a_shuffle_of_texts(spark, tmp_path, monkeypatch):
+    """Only the rows that the filter stops meet the ids that go: a filter of 64 bits stops all."""
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{text} end{i}" if i < 40 else " ".join(f"v{i}x{k}" for k in range(40)), "s") for i in range(200)] + [(None, text, "s"), (300, None, "s"), (7, f"{text} end7", "s"), (41, f"{text} end3", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole = [r for r in rows if r[0] in (0, None, 300) or r[0] >= 40 and not (r[1] or "").startswith("w0")]
+    for bits in (common.GONE_BITS, 64):
+        monkeypatch.setattr(common, "GONE_BITS", bits)
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+        kept.write.parquet(path := str(tmp_path / f"{bits}"))
+        assert sorted(map(repr, map(tuple, spark.read.parquet(path).collect()))) == sorted(map(repr, whole))
+        # the plan keeps two ways, and the first has no exchange of texts
+        ways = kept._jdf.queryExecution().optimizedPlan().toString().split("LeftAnti")
+        assert len(ways) == 2 and ways[0].strip().startswith("Union")
+    assert common.without(docs, docs.limit(0).select(F.col("doc_id"), F.col("doc_id")), [docs["doc_id"], docs["doc_id"]]).count() == len(rows)
+
+
 def test_first_lines_stream_from_the_ranges(spark, monkeypatch):
     plans, cut = [], lines.cut
     monkeypatch.setattr(lines, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
