@@ -15,9 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import cut, mix, slices, string_hash, words
+from .common import cut, distinct, mix, slices, string_hash, words
 
 #: Hash slots (the weights' bound), and most labelled rows that the model is fitted on.
 SLOTS = 1 << 20
@@ -53,7 +53,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             doc, slot = features(part.column("text"))
-            pairs = np.unique(doc.astype(np.int64) * SLOTS + slot)
+            pairs = distinct(doc.astype(np.int64) * SLOTS + slot)
             bounds = np.searchsorted(pairs // SLOTS, np.arange(part.num_rows + 1)).astype(np.int32)
             yield pa.record_batch({"turn": part.column("turn"), "label": part.column("label"), "slots": pa.ListArray.from_arrays(pa.array(bounds), pa.array((pairs % SLOTS).astype(np.int32)))})
 
@@ -84,19 +84,21 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"slot": pa.array(at.astype(np.int32)), "weight": pa.array(w[at])})
 
 
-def _scored(model):
+def _scored(model, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot, weight = model.value
         dense = np.zeros(SLOTS + 1)
         dense[slot] = weight
         for batch in batches:
-            for part in slices(batch, "text"):
+            row = batch.column("row")
+            texts = batch.column("text") if "text" in batch.schema.names else row.field(text_col)
+            for part in slices(pa.record_batch({"row": row, "text": texts}), "text"):
                 doc, at = features(part.column("text"))
                 hit = dense[at] != 0
-                pairs = np.unique(doc[hit].astype(np.int64) * SLOTS + at[hit])
+                pairs = distinct(doc[hit].astype(np.int64) * SLOTS + at[hit])
                 total = dense[SLOTS] + np.bincount(pairs // SLOTS, dense[pairs % SLOTS], minlength=part.num_rows)
                 score = 1 / (1 + np.exp(-np.clip(total, -35, 35))) if len(slot) else np.zeros(part.num_rows)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], [*part.schema.names, "__score"])
+                yield pa.record_batch({"row": part.column("row"), "__score": pa.array(score)})
 
     return run
 
@@ -132,6 +134,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str =
     empty, and an empty text has the intercept's score; an empty model scores 0.
     Texts are read whole; other columns pass through."""
     passed = docs.sparkSession.sparkContext.broadcast(model)
-    inner = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
-    schema = StructType([*inner.schema.fields, StructField("__score", DoubleType())])
-    return inner.mapInArrow(_scored(passed), schema).select("row.*", "__score")
+    # a text that is there as such is not sent twice
+    there = [f.dataType for f in docs.schema.fields if f.name == text_col] == [StringType()]
+    inner = docs.select(F.struct("*").alias("row"), *([] if there else [F.col(text_col).cast("string").alias("text")]))
+    schema = StructType([inner.schema["row"], StructField("__score", DoubleType())])
+    return inner.mapInArrow(_scored(passed, text_col), schema).select("row.*", "__score")

@@ -526,6 +526,25 @@ def test_near_duplicates_go_without_a_shuffle_of_texts(spark, tmp_path, monkeypa
     assert common.without(docs, docs.limit(0).select(F.col("doc_id"), F.col("doc_id")), [docs["doc_id"], docs["doc_id"]]).count() == len(rows)
 
 
+def test_score_sends_a_text_once(spark):
+    docs = spark.createDataFrame([(1, "a text", 2), (2, None, 3)], "doc_id long, text string, __text int")
+    model = (np.array([toxicity.SLOTS]), np.array([1.0]))
+    for frame, sent in ((docs, 1), (docs.withColumn("text", F.col("text").cast("binary")), 2)):
+        got = toxicity.score(frame, model)
+        assert got.columns == [*docs.columns, "__score"] and [r["__score"] for r in got.collect()] == pytest.approx([1 / (1 + np.exp(-1))] * 2)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.split("MapInArrow")[1].count("text#") >= sent and ("AS text#" in plan.split("MapInArrow")[1]) == (sent == 2)
+    assert [r.text for r in toxicity.score(docs, model).collect()] == ["a text", None]
+
+
+def test_workers_hold_little(spark):
+    """What a worker keeps for its next task, and what a slice of words takes."""
+    common.flat_hashes(pa.array(["x" * 1000] * 900, pa.large_string()))
+    assert sum(x.nbytes for x in common._held) <= 20 << 20
+    x = np.random.default_rng(1).integers(0, 1000, 5000)
+    assert (common.distinct(x) == np.unique(x)).all() and len(common.distinct(x[:0])) == 0
+
+
 def test_first_lines_stream_from_the_ranges(spark, monkeypatch):
     plans, cut = [], lines.cut
     monkeypatch.setattr(lines, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
