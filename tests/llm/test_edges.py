@@ -545,6 +545,27 @@ def test_workers_hold_little(spark):
     assert (common.distinct(x) == np.unique(x)).all() and len(common.distinct(x[:0])) == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_postings_are_those_of_plain_sets(parts):
+    """Frequent columns come last and are split, whatever the slices; copies in a batch count once."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{w}" for w in rng.integers(0, 60 if i % 3 else 2, rng.integers(1, 90))) for i in range(60)] * 2 + ["", None]
+    sets = list(jaccard.shingle_sets(pa.array(texts), 5))
+    grams, counts = np.unique(np.concatenate(sets[:60]), return_counts=True)
+    frequent, known = grams[counts > 1], np.log2(counts[counts > 1]).astype(np.float32)
+    assert len(frequent) > 10
+
+    class Held:
+        value = np.zeros(jaccard.WORD_CELLS, np.float32).tobytes()
+
+    batch = pa.record_batch({"text": pa.array(texts)})
+    out = pa.Table.from_batches(jaccard._prefixes(5, 80, frequent, known, np.full(len(frequent), parts), Held, 1000)(iter([batch])))
+    got = sorted(p for r in out.to_pylist() for p in zip(*[np.frombuffer(r[k], t).tolist() for k, t in (("gram", np.uint64), ("node", np.int64), ("size", np.int32))]))
+    rank = dict(zip(frequent.tolist(), np.round(8 * known).tolist()))
+    plain = {jaccard._name(s): s.tolist() for s in sets if len(s)}
+    assert got == sorted((g, name, len(s)) for name, s in plain.items() for g in sorted(s, key=lambda g: (rank.get(g, 0), g))[: len(s) - -(-80 * len(s) // 100) + 1])
+
+
 def test_first_lines_stream_from_the_ranges(spark, monkeypatch):
     plans, cut = [], lines.cut
     monkeypatch.setattr(lines, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
